@@ -29,9 +29,9 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: s
     spread = tabled(df.repartitionByRange(n, *keys, *order).withColumn(PART, F.spark_partition_id()))
     counts = spread.groupBy(PART, *group).agg(F.count("*").alias(LOCAL))
     before = Window.partitionBy(*group).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select(PART, *group, F.coalesce(F.sum(LOCAL).over(before), F.lit(0)).alias(SHIFT))
+    theirs = {c: f"__of_{k}" for k, c in enumerate([PART, *group])}
+    shifts = counts.select(*(F.col(c).alias(n) for c, n in theirs.items()), F.coalesce(F.sum(LOCAL).over(before), F.lit(0)).alias(SHIFT))
     local = Window.partitionBy(PART, *group).orderBy(*order)
     numbered = spread.withColumn(LOCAL, F.row_number().over(local))
-    same = [numbered[PART] == shifts[PART], *(numbered[c].eqNullSafe(shifts[c]) for c in group)]
-    joined = numbered.join(shifts, same)
-    return joined.select(*(numbered[c] for c in df.columns), (numbered[LOCAL] + shifts[SHIFT]).cast("long").alias(name))
+    joined = numbered.join(shifts, [F.col(c).eqNullSafe(F.col(n)) for c, n in theirs.items()])
+    return joined.select(*df.columns, (F.col(LOCAL) + F.col(SHIFT)).cast("long").alias(name))
