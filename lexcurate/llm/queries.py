@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexcurate.functions.urls import site_sql
-from lexcurate.llm import capping, cutoffs, lines
+from lexcurate.llm import budget, capping, cutoffs, garbled, leaks, lines, overlaps, packing, quality, splits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,83 @@ def p7_kept(spark, folder):
     """Ids left when every site is held to the cap, with their ranks."""
     scored = table(spark, folder, "scored")
     return capping.in_batches(scored, capping.share_cap(scored)).kept.select("site", "id", "score", "rank")
+
+
+@query(f"""WITH RECURSIVE named AS (SELECT DISTINCT id, {site_sql("url")} AS site FROM annotations WHERE id IS NOT NULL),
+reach(site, other) AS (SELECT site, site FROM named WHERE site IS NOT NULL UNION
+  SELECT r.site, b.site FROM reach r JOIN named a ON a.site = r.other JOIN named b ON b.id = a.id WHERE b.site IS NOT NULL),
+roots AS (SELECT site, min(other) AS root FROM reach GROUP BY 1)
+SELECT id, coalesce(min(root), id) AS grp FROM named LEFT JOIN roots USING (site) GROUP BY id""")
+def p2_found(spark, folder):
+    """The group of each annotated id."""
+    return splits.groups(table(spark, folder, "annotations"))
+
+
+@query()
+def p2_split(spark, folder):
+    """One split per annotated id, groups kept together."""
+    return splits.split_records(table(spark, folder, "annotations"))
+
+
+@query()
+def p3_budget(spark, folder):
+    """Documents and tokens of each slice."""
+    return budget.token_budget(table(spark, folder, "documents"))
+
+
+@query()
+def p8_pack(spark, folder):
+    """Container, position and piece of each text."""
+    return packing.packed_texts(table(spark, folder, "documents"))
+
+
+@query(r"""WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM eval_items WHERE text IS NOT NULL),
+v AS (SELECT DISTINCT item_id, ' ' || array_to_string(words[i:i+19], ' ') || ' ' AS passage FROM (SELECT item_id, words, unnest(range(1, len(words) - 18)) AS i FROM w)),
+d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM documents WHERE text IS NOT NULL),
+s AS (SELECT DISTINCT doc_id, ' ' || array_to_string(words[i:i+19], ' ') || ' ' AS passage FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d))
+SELECT DISTINCT doc_id, item_id FROM s JOIN v USING (passage)""")
+def p9_found(spark, folder):
+    """Documents and the items they leak."""
+    return leaks.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+@query()
+def p9_reparameterised(spark, folder):
+    """Documents and the items of which they have passages with other numbers, names or units."""
+    return leaks.reparameterised_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+@query()
+def p10_found(spark, folder):
+    """Documents with garbled sequences."""
+    return garbled.garbled_documents(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id").distinct()
+
+
+@query()
+def p10_restored(spark, folder):
+    """Garbled documents and their text as far as it can be restored."""
+    return garbled.restored_documents(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "restored", "complete")
+
+
+@query()
+def p4_found(spark, folder):
+    """Pairs of ids across the splits with the same or nearly the same text."""
+    return overlaps.overlapping_ids(table(spark, folder, "annotations"), table(spark, folder, "split_members")).select("id_a", "id_b").distinct()
+
+
+@query()
+def p4_report(spark, folder):
+    """Overlaps per split and site, with the scores that disagree."""
+    return overlaps.overlap_report(table(spark, folder, "annotations"), table(spark, folder, "split_members"))
+
+
+@query()
+def p6_found(spark, folder):
+    """Documents that are not prose."""
+    return quality.not_prose(quality.text_statistics(table(spark, folder, "documents"))).select("doc_id").distinct()
+
+
+@query()
+def p6_stats(spark, folder):
+    """Text statistics of every document."""
+    return quality.text_statistics(table(spark, folder, "documents"))
