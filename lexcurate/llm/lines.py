@@ -23,7 +23,7 @@ def _occurrences(docs: DataFrame, min_pieces: int) -> DataFrame:
     """doc_id, text_key, line_no, site, h1, h2: one row per line long enough to count."""
     lines = (
         docs.select("doc_id", "text", site(F.col("url")).alias("site"))
-        .filter(F.col("site").isNotNull() & F.col("text").isNotNull())
+        .filter(F.col("doc_id").isNotNull() & F.col("site").isNotNull() & F.col("text").isNotNull())
         .select("doc_id", F.xxhash64("text").alias("text_key"), "site", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
         .select("doc_id", "text_key", "site", (F.col("pos") + 1).cast("long").alias("line_no"), line_form(F.col("line")).alias("form"))
         .filter(F.col("form").rlike("^[a-z]+" + " [a-z]+" * (min_pieces - 1)))
@@ -35,7 +35,7 @@ def repeated_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_shar
     """``doc_id, text_key, line_no`` of every line whose form stands in at least ``min_documents`` different
     documents (doc_ids) of its site and in at least ``min_share`` of the site's documents.
 
-    Null texts and documents without a site have no lines; empty texts have one line that is too short. A
+    Null texts and documents without a doc_id or a site have no lines; empty texts have one line that is too short. A
     doc_id that occurs in several rows counts once; ``text_key`` tells rows with different texts apart, equal rows
     give one line each once. Columns other than ``doc_id, text, url`` are ignored.
     """
@@ -54,20 +54,21 @@ def removed_by_document(docs: DataFrame, **options) -> DataFrame:
     return repeated_lines(docs, **options).groupBy("doc_id", "text_key").agg(F.collect_list("line_no").alias("removed"))
 
 
-def with_removed(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the array column ``removed``; empty where nothing is removed."""
+def with_removed(docs: DataFrame, name: str = "removed", **options) -> DataFrame:
+    """``docs`` with the array column ``name`` (replaced if it is there); empty where nothing is removed."""
     removed = removed_by_document(docs, **options).withColumnsRenamed({"doc_id": "__id", "text_key": "__key", "removed": "__removed"})
     keyed = docs.withColumn("__text", F.xxhash64("text"))
     joined = keyed.join(removed, (F.col("doc_id") == F.col("__id")) & (F.col("__text") == F.col("__key")), "left")
-    return joined.select(*docs.columns, F.coalesce("__removed", F.array().cast("array<bigint>")).alias("removed"))
+    return joined.select(*(c for c in docs.columns if c != name), F.coalesce("__removed", F.array().cast("array<bigint>")).alias(name))
 
 
 def without_repeated_lines(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with ``text`` rebuilt without the repeated lines and ``removed_lines``, their number.
 
-    A text of which every line is removed becomes empty; null stays null; other columns are kept.
+    A text of which every line is removed becomes empty; null stays null; other columns are kept, but for one named
+    ``removed_lines``, which is replaced.
     """
-    kept = F.filter(F.split("text", "\n", -1), lambda line, pos: ~F.array_contains(F.col("removed"), (pos + 1).cast("long")))
-    rebuilt = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
-    marked = with_removed(docs, **options).withColumn("text", rebuilt).withColumn("removed_lines", F.size("removed").cast("long"))
-    return marked.drop("removed")
+    kept = F.filter(F.split("text", "\n", -1), lambda line, pos: ~F.array_contains(F.col("__gone"), (pos + 1).cast("long")))
+    rebuilt = F.when(F.size("__gone") == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
+    marked = with_removed(docs, "__gone", **options).withColumn("text", rebuilt).withColumn("removed_lines", F.size("__gone").cast("long"))
+    return marked.drop("__gone")

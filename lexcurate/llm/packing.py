@@ -23,6 +23,7 @@ from lexcurate.operators.ranking import ranked
 from lexcurate.plans.lineage import tabled
 
 CAPACITY = 2048
+RESERVED = ("piece", "token_from", "token_to", "container", "position")
 
 
 @dataclass(frozen=True)
@@ -100,11 +101,11 @@ def packed(items: DataFrame, size: str = "n_tokens", capacity: int = CAPACITY) -
     An item of more than ``capacity`` is cut into full pieces, each a container of its own, and a rest that is packed
     like any other item. ``token_from`` and ``token_to`` bound the piece (0-based, end excluded); ``position`` is its
     1-based place in the container. Items without a size or of size 0 need no container: one row with nulls there.
-    Repeated items are packed each for itself. ``items`` must have no columns of these names. Containers are
-    numbered from 0; those of cut pieces follow the others.
+    Repeated items are packed each for itself. Columns of these names are replaced.
+    Containers are numbered from 0; those of cut pieces follow the others.
     """
     of = F.coalesce(F.col(size).cast("long"), F.lit(0))
-    numbered = tabled(items.withColumn("__size", of))
+    numbered = tabled(items.withColumn("__size", of).drop(*RESERVED))
     pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.floor((F.col("__size") - 1) / capacity)).cast("long")))
     cut = numbered.withColumn("__piece", pieces).withColumn("__from", F.col("__piece") * capacity)
     cut = cut.withColumn("__to", F.least(F.col("__size"), F.col("__from") + capacity)).withColumn("__length", F.col("__to") - F.col("__from"))
@@ -126,17 +127,14 @@ def packed(items: DataFrame, size: str = "n_tokens", capacity: int = CAPACITY) -
             container[i], position[i] = begin + (r - starts[j]) // uses, at + (r - starts[j]) % uses
         return pd.DataFrame({"container": container, "position": position})
 
-    filled = ranked(cut.filter("__length > 0"), ["__length"], [F.xxhash64(*items.columns), *(F.col(c) for c in _orderable(items)), F.col("__piece")], "__rank")
+    same = [f.name for f in items.schema.fields if f.name not in RESERVED and f.dataType.typeName() not in ("map", "variant")]
+    filled = ranked(cut.filter("__length > 0"), ["__length"], [F.xxhash64(*same), *map(F.col, same), F.col("__piece")], "__rank")
     filled = filled.withColumn("__at", placed("__length", "__rank"))
-    columns = [*items.columns, F.col("__piece").alias("piece"), F.col("__from").alias("token_from"), F.col("__to").alias("token_to")]
+    columns = [*(c for c in items.columns if c not in RESERVED), F.col("__piece").alias("piece"), F.col("__from").alias("token_from"), F.col("__to").alias("token_to")]
     none = F.lit(None).cast("long")
     return filled.select(*columns, "__at.container", "__at.position").unionByName(cut.filter("__length = 0").select(*columns, none.alias("container"), none.alias("position")))
 
 
-def _orderable(items: DataFrame) -> list[str]:
-    return [f.name for f in items.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-
-
 def packed_texts(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
     """:func:`packed` over ``doc_id, text``, sized in tokens: ``doc_id, n_tokens, piece, token_from, token_to, container, position``."""
     return packed(counted(docs.select("doc_id", "text"), vocabulary).select("doc_id", "n_tokens"), "n_tokens", capacity)
