@@ -20,7 +20,7 @@ PART, LOCAL, SHIFT = "__part", "__local", "__shift"
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str = "rank", partitions: int | None = None) -> DataFrame:
     """``df`` with ``name``: 1, 2, ... within ``group`` by ``order``.
 
-    ``order`` must be total for a reproducible rank; null group values form a group of their own. Equal rows get
+    A column of that name is replaced. ``order`` must be total for a reproducible rank; null group values form a group of their own. Equal rows get
     consecutive ranks. Empty input gives an empty result. The ranges are sampled, so the numbered
     rows are written to the shared folder once before the shifts are derived from them.
     """
@@ -34,4 +34,4 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: s
     local = Window.partitionBy(PART, *group).orderBy(*order)
     numbered = spread.withColumn(LOCAL, F.row_number().over(local))
     joined = numbered.join(shifts, [F.col(c).eqNullSafe(F.col(n)) for c, n in theirs.items()])
-    return joined.select(*df.columns, (F.col(LOCAL) + F.col(SHIFT)).cast("long").alias(name))
+    return joined.select(*(c for c in df.columns if c != name), (F.col(LOCAL) + F.col(SHIFT)).cast("long").alias(name))
