@@ -40,22 +40,22 @@ def _byte(value: int, encoding: str) -> str:
 
 
 def originals() -> list[str]:
-    """Characters of Western European text beyond ASCII: Latin-1 and what cp1252 adds."""
+    """Characters of Western European text beyond ASCII, and of text garbled once: Latin-1 with its controls and what cp1252 adds."""
     extra = [_byte(b, "cp1252") for b in range(0x80, 0xA0)]
-    return sorted({chr(c) for c in range(0xA0, 0x100)} | {c for c in extra if ord(c) > 0xFF})
+    return sorted({chr(c) for c in range(0x80, 0x100)} | {c for c in extra if ord(c) > 0xFF})
 
 
 @lru_cache(maxsize=1)
 def tables():
-    """The automaton; its values are (form, original, encoding) for wide forms and (form, [(original, pair)]) for narrow ones."""
+    """The automaton; its values are a form, whether it is wide, and its ways: (original, encoding or pair of encodings)."""
     import ahocorasick
 
-    wide: dict[str, tuple[str, str]] = {}
+    wide: dict[str, list[tuple[str, str]]] = {}
     for encoding in WIDE:
         for c in originals():
             form = "".join(_byte(b, encoding) for b in c.encode("utf-8"))
             if form != c and not form.isascii():
-                wide.setdefault(form, (c, encoding))
+                wide.setdefault(form, []).append((c, encoding))
     narrow: dict[str, list[tuple[str, str]]] = {}
     for source, read in NARROW:
         for c in originals():
@@ -66,13 +66,12 @@ def tables():
             if form != c and not form.isascii() and (c.isalpha() or c in "’“”–—…•§€£©°º\xa0"):
                 narrow.setdefault(form, []).append((c, f"{source}>{read}"))
     automaton = ahocorasick.Automaton()
-    for form, (c, encoding) in wide.items():
-        automaton.add_word(form, (form, c, encoding))
     for form, ways in narrow.items():
-        if form not in wide:
-            automaton.add_word(form, (form, None, ways))
+        automaton.add_word(form, (form, False, ways))
+    for form, ways in wide.items():
+        automaton.add_word(form, (form, True, ways))
     automaton.make_automaton()
-    return automaton, wide, narrow
+    return automaton
 
 
 def _script(c: str) -> str:
@@ -150,21 +149,23 @@ QUOTED = re.compile(r"(?<!\w)ô(?=\w)[^ôö\n]{2,200}(?<=\w)ö(?!\w)")
 
 def _spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, str, str]], list[tuple[int, str, str]]]:
     """Wide spans (start, stop, original); strong and possible narrow places (start, original, pair)."""
-    automaton, _, _ = tables()
-    longest: dict[int, tuple[int, str]] = {}
+    longest: dict[int, tuple[int, list]] = {}
     singles: list[tuple[int, str, list]] = []
-    for end, (form, original, way) in automaton.iter(text):
+    for end, (form, is_wide, ways) in tables().iter(text):
         start = end + 1 - len(form)
-        if original is None:
-            singles.append((start, form, way))
+        if not is_wide:
+            singles.append((start, form, ways))
         elif start not in longest or longest[start][0] < end + 1:
-            longest[start] = (end + 1, original)
-    chosen, at = [], 0
+            longest[start] = (end + 1, ways)
+    found, at = [], 0
     for start in sorted(longest):
-        stop, original = longest[start]
+        stop, ways = longest[start]
         if start >= at:
-            chosen.append((start, stop, original))
+            found.append((start, stop, ways))
             at = stop
+    # a form of several encodings is read in the one that explains most of the text's forms
+    votes = Counter(e for _, _, ways in found for e in {e for _, e in ways})
+    chosen = [(start, stop, max(ways, key=lambda w: votes[w[1]])[0]) for start, stop, ways in found]
     starts, stops = {s for s, _, _ in chosen}, {e for _, e, _ in chosen}
     wide = [s for s in chosen if _wide(text, *s, starts, stops)]
     covered = {i for s, e, _ in wide for i in range(s, e)}
