@@ -32,6 +32,26 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{folder}"
 
 
+def work_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; removed when the driver's Python ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/lexcurate-{spark.sparkContext.applicationId}"
+    if folder not in _made:
+        _made.add(folder)
+        atexit.register(_remove, spark, folder)
+    return folder
+
+
+_made: set[str] = set()
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the JVM may be gone
+        pass
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed now and read from reliable storage from here on; removed once it is no longer referenced,
     if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on. For small tables inside loops."""
@@ -43,6 +63,6 @@ def tabled(df: DataFrame) -> DataFrame:
     """``df`` written as a compressed Parquet table in the shared folder and read again. For large intermediate
     results: columns stay prunable and the bytes stay few."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

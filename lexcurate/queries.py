@@ -15,7 +15,7 @@ from lexcurate.functions import text as T
 from lexcurate.functions.replies import parsed_reply
 from lexcurate.functions.urls import netloc, netloc_sql
 from lexcurate.operators import dedup, filters, learning, metrics, sampling, scoring, statistics, tiers
-from lexcurate.plans.lineage import shared_folder, tabled
+from lexcurate.plans.lineage import tabled, work_folder
 from lexcurate.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,7 +37,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    return f"{work_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
 # ---------------------------------------------------------------- SQL pieces
