@@ -37,22 +37,23 @@ NEWS_URLS = (
     "foxnews.com", "usatoday.com", "huffpost.com", "politico.com",
     "buzzfeed.com", "vice.com", "medium.com",
 )
-#: pattern, and whether letter case is ignored
+#: pattern, whether letter case is ignored, and a part that every match has: it is sought first, as that is cheaper. Where case
+#: is ignored it is in lower case and has no letter that other letters fold to.
 CITATIONS = (
-    (r"v\.\s+[A-Z]", True),
-    (r"§\s*\d+", False),
-    (r"Section\s+\d+", True),
-    (r"\d+\s+U\.S\.C\.", True),
-    (r"Article\s+[IVX]+", True),
-    (r"No\.\s+\d+", False),
-    (r"\bId\.", True),
-    (r"Ct\.\s+App\.", True),
-    (r"\d+\s+F\.\d+d\s+\d+", False),
-    (r"\d+\s+S\.Ct\.\s+\d+", False),
-    (r"\d+\s+L\.Ed\.\s*\d*", False),
-    (r"C\.F\.R\.\s*§?\s*\d+", False),
-    (r"Pub\.\s*L\.\s*No\.", True),
-    (r"Stat\.\s+\d+", False),
+    (r"v\.\s+[A-Z]", True, "v."),
+    (r"§\s*\d+", False, "§"),
+    (r"Section\s+\d+", True, "ect"),
+    (r"\d+\s+U\.S\.C\.", True, ".c."),
+    (r"Article\s+[IVX]+", True, "art"),
+    (r"No\.\s+\d+", False, "No."),
+    (r"\bId\.", True, "d."),
+    (r"Ct\.\s+App\.", True, "ct."),
+    (r"\d+\s+F\.\d+d\s+\d+", False, "F."),
+    (r"\d+\s+S\.Ct\.\s+\d+", False, "S.Ct."),
+    (r"\d+\s+L\.Ed\.\s*\d*", False, "L.Ed."),
+    (r"C\.F\.R\.\s*§?\s*\d+", False, "C.F.R."),
+    (r"Pub\.\s*L\.\s*No\.", True, "pub."),
+    (r"Stat\.\s+\d+", False, "Stat."),
 )
 SCORE_NAMES = ("Not legal", "Marginal", "Low", "Moderate", "High", "Exceptional")
 
@@ -76,7 +77,7 @@ class Lexicon:
     boilerplate: tuple[str, ...] = BOILERPLATE
     keywords: tuple[str, ...] = KEYWORDS
     news_urls: tuple[str, ...] = NEWS_URLS
-    citations: tuple[tuple[str, bool], ...] = CITATIONS
+    citations: tuple[tuple[str, bool, str], ...] = CITATIONS
     min_keywords: int = 2
     boilerplate_chars: int = 1000
     keyword_chars: int = 5000

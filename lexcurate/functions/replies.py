@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexcurate.functions.text import strip, without_fence
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once; without it each use would repeat the value's code."""
-    return F.transform(F.array(value), body)[0]
+from lexcurate.functions.text import let, strip, without_fence
 
 
 def parsed_reply(content: Column) -> Column:
@@ -22,7 +15,7 @@ def parsed_reply(content: Column) -> Column:
     anything else, a reply that is no JSON object, or null is an error that quotes the first 100 characters. ``reasoning`` is
     ``''`` if absent and ``None`` for JSON null.
     """
-    return _let(without_fence(strip(content)), lambda body: _let(F.try_parse_json(body), lambda data: _parsed(body, data)))
+    return let(without_fence(strip(content)), lambda body: let(F.try_parse_json(body), lambda data: _parsed(body, data)))
 
 
 def _parsed(body: Column, data: Column) -> Column:
@@ -34,7 +27,7 @@ def _parsed(body: Column, data: Column) -> Column:
         F.try_variant_get(data, "$.reasoning", "string").alias("why"),
     )
     error = F.concat(F.lit("Failed to parse: "), F.left(F.coalesce(body, F.lit("")), F.lit(100)), F.lit("..."))
-    return _let(parts, lambda p: _let(_whole(p["kind"], p["text"]), lambda whole: _result(p, whole, error)))
+    return let(parts, lambda p: let(_whole(p["kind"], p["text"]), lambda whole: _result(p, whole, error)))
 
 
 def _whole(kind: Column, text: Column) -> Column:

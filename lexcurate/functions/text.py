@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -14,6 +14,11 @@ SPACE = r"[\s\x1c-\x1f]"
 TOKEN_CHARS, COST_PER_MILLION, TRUNCATION = 4, 2.7, 3000
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row; without it each use would compute it again."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
@@ -61,8 +66,13 @@ def count_contains(text: Column, parts: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, (F.contains(text, F.lit(p)).cast("int") for p in parts))
 
 
-def any_match(text: Column, patterns: Sequence[tuple[str, bool]]) -> Column:
-    return reduce(lambda a, b: a | b, (text.rlike(java_pattern(*p)) for p in patterns))
+def matches(text: Column, low: Column, pattern: str, ignore_case: bool, part: str = "") -> Column:
+    """Whether the pattern is found; ``part`` stands in every match (in ``low``, the text in lower case, if case is ignored)."""
+    return F.contains(low if ignore_case else text, F.lit(part)) & text.rlike(java_pattern(pattern, ignore_case))
+
+
+def any_match(text: Column, patterns: Sequence[tuple[str, bool, str]]) -> Column:
+    return let(F.lower(text), lambda low: reduce(lambda a, b: a | b, (matches(text, low, *p) for p in patterns)))
 
 
 def ceil_div(a: Column, b: Column | int) -> Column:

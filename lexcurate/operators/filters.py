@@ -13,22 +13,23 @@ PASS = "pass"
 
 def is_news_url(url: Column, lexicon: Lexicon = STAGE1) -> Column:
     """Null and empty URLs are no news."""
-    return F.coalesce(T.any_contains(F.lower(url), lexicon.news_urls), F.lit(False))
+    return F.coalesce(T.let(F.lower(url), lambda low: T.any_contains(low, lexicon.news_urls)), F.lit(False))
 
 
 def has_boilerplate(text: Column, lexicon: Lexicon = STAGE1) -> Column:
     """In the first characters, or in the last ones of texts longer than that."""
     n = F.lit(lexicon.boilerplate_chars)
-    return T.any_contains(F.lower(F.left(text, n)), lexicon.boilerplate) | T.any_contains(F.lower(F.right(text, n)), lexicon.boilerplate)
+    found = lambda part: T.let(F.lower(part), lambda low: T.any_contains(low, lexicon.boilerplate))
+    return found(F.left(text, n)) | found(F.right(text, n))
 
 
 def keyword_count(text: Column, lexicon: Lexicon = STAGE1) -> Column:
     """Different keywords in the first characters."""
-    return T.count_contains(F.lower(F.left(text, F.lit(lexicon.keyword_chars))), lexicon.keywords)
+    return T.let(F.lower(F.left(text, F.lit(lexicon.keyword_chars))), lambda low: T.count_contains(low, lexicon.keywords))
 
 
 def has_citation(text: Column, lexicon: Lexicon = STAGE1) -> Column:
-    return T.any_match(F.left(text, F.lit(lexicon.citation_chars)), lexicon.citations)
+    return T.let(F.left(text, F.lit(lexicon.citation_chars)), lambda part: T.any_match(part, lexicon.citations))
 
 
 def right_length(text: Column, lexicon: Lexicon = STAGE1) -> Column:

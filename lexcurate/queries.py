@@ -36,6 +36,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents, for work that costs more than reading them."""
+    return sources.spread(table(spark, folder, "documents"))
+
+
 def scratch(spark: SparkSession) -> str:
     return f"{work_folder(spark)}/run-{uuid.uuid4().hex}"
 
@@ -56,7 +61,7 @@ def _count(text: str, parts) -> str:
 
 
 def _citation(k: int) -> str:
-    return f"regexp_matches(left(text, 8000), {_quoted(L.sql_pattern(*L.CITATIONS[k]))})"
+    return f"regexp_matches(left(text, 8000), {_quoted(L.sql_pattern(*L.CITATIONS[k][:2]))})"
 
 
 NEWS_SQL = f"coalesce({_any('lower(url)', L.NEWS_URLS)}, false)"
@@ -76,24 +81,24 @@ REGISTRY_SQL = f"SELECT DISTINCT {HASH_SQL} AS text_hash FROM documents WHERE do
 
 @query(f"SELECT {REASON_SQL} AS reason, count(*) AS documents, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS chars FROM documents GROUP BY 1")
 def q_funnel(spark, folder):
-    return filters.funnel(table(spark, folder, "documents"))
+    return filters.funnel(texts(spark, folder))
 
 
 @query(f"SELECT doc_id, {REASON_SQL} AS reason FROM documents")
 def q_reject_rows(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder)
     return docs.select("doc_id", filters.reject_reason(F.col("text"), F.col("url")).alias("reason"))
 
 
 @query(f"""SELECT doc_id, coalesce(length(text), 0) BETWEEN 500 AND 50000 AS length_ok, {NEWS_SQL} AS news_url, {BOILERPLATE_SQL} AS boilerplate,
 CAST({KEYWORDS_SQL} AS INTEGER) AS keywords, {CITATION_SQL} AS citation FROM documents""")
 def q_filter_features(spark, folder):
-    return filters.features(table(spark, folder, "documents").select("doc_id", "text", "url")).drop("text", "url")
+    return filters.features(texts(spark, folder).select("doc_id", "text", "url")).drop("text", "url")
 
 
 @query(f"SELECT doc_id, CAST(length(text) AS INTEGER) AS n FROM documents WHERE {REASON_SQL} = 'pass'")
 def q_survivors(spark, folder):
-    return filters.survivors(table(spark, folder, "documents")).select("doc_id", F.length("text").alias("n"))
+    return filters.survivors(texts(spark, folder)).select("doc_id", F.length("text").alias("n"))
 
 
 @query("SELECT doc_id FROM documents WHERE length(text) BETWEEN 1000 AND 50000")
@@ -103,7 +108,7 @@ def q_length_filter(spark, folder):
 
 @query(f"SELECT doc_id FROM documents WHERE {BOILERPLATE_SQL}")
 def q_boilerplate(spark, folder):
-    return table(spark, folder, "documents").filter(filters.has_boilerplate(F.col("text"))).select("doc_id")
+    return texts(spark, folder).filter(filters.has_boilerplate(F.col("text"))).select("doc_id")
 
 
 @query(f"SELECT id FROM scored WHERE {NEWS_SQL}")
@@ -114,7 +119,7 @@ def q_news_url(spark, folder):
 @query(f"SELECT doc_id, CAST({KEYWORDS_SQL} AS INTEGER) AS keywords, CAST(least({KEYWORDS_SQL}, 2) AS INTEGER) AS capped FROM documents")
 def q_keyword_counts(spark, folder):
     n = filters.keyword_count(F.col("text"))
-    return table(spark, folder, "documents").select("doc_id", n.alias("keywords"), F.when(n.isNotNull(), F.least(n, F.lit(2))).alias("capped"))
+    return texts(spark, folder).select("doc_id", n.alias("keywords"), F.when(n.isNotNull(), F.least(n, F.lit(2))).alias("capped"))
 
 
 @query(
@@ -124,7 +129,7 @@ def q_keyword_counts(spark, folder):
 )
 def q_keyword_histogram(spark, folder):
     """Documents by keyword."""
-    low = table(spark, folder, "documents").select(F.lower(F.left("text", F.lit(5000))).alias("low"))
+    low = texts(spark, folder).select(F.lower(F.left("text", F.lit(5000))).alias("low"))
     each = [F.count(F.when(F.contains("low", F.lit(k)), 1)).alias(k) for k in L.KEYWORDS]
     counts = low.agg(F.array(*each).alias("n"))
     rows = counts.select(F.explode(F.arrays_zip(F.array(*map(F.lit, L.KEYWORDS)).alias("keyword"), F.col("n").alias("documents"))).alias("r"))
@@ -134,8 +139,10 @@ def q_keyword_histogram(spark, folder):
 @query(" UNION ALL ".join(f"SELECT {k + 1} AS pattern, count(*) AS documents FROM documents WHERE {_citation(k)}" for k in range(len(L.CITATIONS))))
 def q_citation_hits(spark, folder):
     """Documents by citation pattern, all counted in one pass."""
-    docs = table(spark, folder, "documents").select(F.left("text", F.lit(8000)).alias("t"))
-    each = [F.count(F.when(F.col("t").rlike(L.java_pattern(*p)), 1)) for p in L.CITATIONS]
+    part = texts(spark, folder).select(F.left("text", F.lit(8000)).alias("t"))
+    hit = lambda low: F.array(*(T.matches(F.col("t"), low, *p) for p in L.CITATIONS))
+    docs = part.select(T.let(F.lower("t"), hit).alias("hit"))
+    each = [F.count(F.when(F.col("hit")[k], 1)) for k in range(len(L.CITATIONS))]
     return docs.agg(F.array(*each).alias("n")).select(F.posexplode("n").alias("k", "documents")).select((F.col("k") + 1).alias("pattern"), "documents")
 
 
@@ -144,31 +151,31 @@ def q_citation_hits(spark, folder):
 
 @query(f"SELECT doc_id, {HASH_SQL} AS text_hash, sha256(text) AS exact_hash FROM documents")
 def q_text_hash(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", T.text_hash(F.col("text")).alias("text_hash"), T.exact_hash(F.col("text")).alias("exact_hash"))
+    return texts(spark, folder).select("doc_id", T.text_hash(F.col("text")).alias("text_hash"), T.exact_hash(F.col("text")).alias("exact_hash"))
 
 
 @query("""SELECT doc_id, CASE WHEN length(text) <= 3000 THEN text ELSE regexp_replace(left(text, 3000), ' [^ ]*$', '') || '...' END AS cut FROM documents""")
 def q_truncate(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", T.truncated(F.col("text")).alias("cut"))
+    return texts(spark, folder).select("doc_id", T.truncated(F.col("text")).alias("cut"))
 
 
 @query("""SELECT doc_id, CAST(greatest(1, n // 4) AS INTEGER) AS tokens, round(greatest(1, n // 4) / 1000000.0 * 2.7, 9) AS cost FROM (
 SELECT doc_id, length(CASE WHEN length(text) <= 3000 THEN text ELSE regexp_replace(left(text, 3000), ' [^ ]*$', '') || '...' END) AS n FROM documents WHERE text IS NOT NULL)""")
 def q_token_cost(spark, folder):
-    docs = table(spark, folder, "documents").filter("text is not null").select("doc_id", T.token_estimate(T.truncated(F.col("text"))).alias("tokens"))
+    docs = texts(spark, folder).filter("text is not null").select("doc_id", T.token_estimate(T.truncated(F.col("text"))).alias("tokens"))
     return docs.withColumn("cost", F.round(T.cost(F.col("tokens")), 9))
 
 
 @query(f"SELECT doc_id, CAST(length(text) AS INTEGER) AS chars, CAST({WORDS_SQL} AS INTEGER) AS words FROM documents WHERE text IS NOT NULL")
 def q_word_stats(spark, folder):
-    docs = table(spark, folder, "documents").filter("text is not null")
+    docs = texts(spark, folder).filter("text is not null")
     return docs.select("doc_id", F.length("text").alias("chars"), T.word_count(F.col("text")).alias("words"))
 
 
 @query(f"""SELECT count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum({WORDS_SQL}) AS BIGINT) AS words, round(avg({WORDS_SQL}), 6) AS avg_words
 FROM documents WHERE text IS NOT NULL""")
 def q_length_totals(spark, folder):
-    return statistics.length_totals(table(spark, folder, "documents")).withColumn("avg_words", F.round("avg_words", 6))
+    return statistics.length_totals(texts(spark, folder)).withColumn("avg_words", F.round("avg_words", 6))
 
 
 @query(f"SELECT doc_id FROM documents WHERE coalesce({STRIP_SQL}, '') = ''")
@@ -231,7 +238,7 @@ def _registry(docs: DataFrame) -> DataFrame:
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY {HASH_SQL} ORDER BY doc_id) AS k FROM documents) WHERE k = 1")
 def q_dedup_keep_first(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = texts(spark, folder).select("doc_id", "text")
     return dedup.keep_first(docs.select("doc_id", T.text_hash(F.col("text")).alias("h")), F.col("h"), ["doc_id"]).select("doc_id")
 
 
@@ -244,24 +251,24 @@ def q_keep_lowest(spark, folder):
 
 @query(f"SELECT {HASH_SQL} AS text_hash, count(*) AS copies, min(doc_id) AS first_id FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
 def q_dup_groups(spark, folder):
-    return dedup.duplicate_groups(table(spark, folder, "documents"), T.text_hash(F.col("text")))
+    return dedup.duplicate_groups(texts(spark, folder), T.text_hash(F.col("text")))
 
 
 @query(f"SELECT doc_id FROM documents WHERE doc_id % 3 <> 0 AND (text IS NULL OR {HASH_SQL} NOT IN ({REGISTRY_SQL}))")
 def q_registry_anti(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder)
     return dedup.not_registered(docs.filter("doc_id % 3 <> 0"), T.text_hash(F.col("text")), _registry(docs)).select("doc_id")
 
 
 @query(f"SELECT count(*) AS known FROM documents WHERE doc_id % 3 <> 0 AND {HASH_SQL} IN ({REGISTRY_SQL})")
 def q_registry_semi(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder)
     return dedup.registered(docs.filter("doc_id % 3 <> 0"), T.text_hash(F.col("text")), _registry(docs)).agg(F.count("*").alias("known"))
 
 
 @query(f"SELECT DISTINCT {HASH_SQL} AS text_hash FROM documents WHERE text IS NOT NULL")
 def q_registry_update(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder)
     return dedup.updated_registry(_registry(docs), docs, T.text_hash(F.col("text")))
 
 
@@ -544,7 +551,7 @@ def q_first_n_per_group(spark, folder):
 
 @query(f"SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 + 1 AS batch FROM documents WHERE {REASON_SQL} = 'pass'")
 def q_batches(spark, folder):
-    kept = filters.survivors(table(spark, folder, "documents")).select("doc_id")
+    kept = tabled(filters.survivors(texts(spark, folder)).select("doc_id"))  # ranking reads its input twice
     return sampling.batches(kept, [F.col("doc_id")], 100)
 
 
@@ -664,7 +671,7 @@ def q_metric_lines(spark, folder):
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))""")
 def q_annotate(spark, folder):
     """Documents annotated by the offline scorer; failures would be rows with an error."""
-    docs = sources.documents(table(spark, folder, "documents"), "doc_id")
+    docs = sources.documents(texts(spark, folder), "doc_id")
     good, _ = scoring.split_errors(scoring.annotated(docs, scoring.TermScorer))
     return good.select("id", "score", "reasoning")
 

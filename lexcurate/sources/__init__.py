@@ -40,6 +40,15 @@ def parquet(spark: SparkSession, path: str | list[str], columns: Sequence[str] =
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan that comes in less than half as many pieces as there are cores, dealt out to all of them before costly work.
+
+    That is so for tables of a file or two; larger ones are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def batches(spark: SparkSession, folder: str) -> DataFrame:
     """All batch files of a folder with ``file`` and ``batch``, the number in the file's or partition's name."""
     df = spark.read.option("basePath", folder).option("recursiveFileLookup", "false").parquet(folder)
