@@ -254,7 +254,7 @@ def _beyond_ascii(text: Column) -> Column:
 
 def garbled_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows of ``docs`` with at least one garbled sequence. Null, empty and ASCII texts have none and never leave the JVM."""
-    return docs.filter(_beyond_ascii(F.col(text))).filter(garbled_udf(text))
+    return docs.filter(_beyond_ascii(F.col(text))).filter(garbled_udf.asNondeterministic()(text))  # stays where it is in the plan
 
 
 def restored_documents(docs: DataFrame, text: str = "text") -> DataFrame:

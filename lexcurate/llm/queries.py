@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexcurate.functions.urls import site_sql
 from lexcurate.llm import budget, capping, cutoffs, garbled, leaks, lines, overlaps, packing, quality, splits
+from lexcurate.sources import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +29,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents, for work that costs more than reading them."""
+    return spread(table(spark, folder, "documents"))
+
+
 LINES_SQL = f"""
 lines AS (SELECT doc_id, site, line_no, trim(regexp_replace(lower(line), '[^a-z]+', ' ', 'g')) AS form FROM (
   SELECT doc_id, {site_sql("url")} AS site, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents WHERE text IS NOT NULL)
@@ -41,7 +47,7 @@ found AS (SELECT DISTINCT doc_id, line_no FROM long_lines JOIN repeated USING (s
 @query(f"WITH {LINES_SQL} SELECT doc_id, CAST(line_no AS BIGINT) AS line_no FROM found")
 def p1_found(spark, folder):
     """Repeated lines of each site."""
-    return lines.repeated_lines(table(spark, folder, "documents")).select("doc_id", "line_no").distinct()
+    return lines.repeated_lines(texts(spark, folder)).select("doc_id", "line_no").distinct()
 
 
 @query(f"""WITH {LINES_SQL},
@@ -53,7 +59,7 @@ SELECT d.doc_id, CASE WHEN gone.n IS NULL THEN d.text ELSE coalesce(kept.text, '
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)""")
 def p1_cleaned(spark, folder):
     """Each text without the repeated lines of its site."""
-    return lines.without_repeated_lines(table(spark, folder, "documents").select("doc_id", "text", "url")).select("doc_id", "text", "removed_lines")
+    return lines.without_repeated_lines(texts(spark, folder).select("doc_id", "text", "url")).select("doc_id", "text", "removed_lines")
 
 
 BEST_SQL = f"""
@@ -116,13 +122,13 @@ def p2_split(spark, folder):
 @query()
 def p3_budget(spark, folder):
     """Documents and tokens of each slice."""
-    return budget.token_budget(table(spark, folder, "documents"))
+    return budget.token_budget(texts(spark, folder))
 
 
 @query()
 def p8_pack(spark, folder):
     """Container, position and piece of each text."""
-    return packing.packed_texts(table(spark, folder, "documents"))
+    return packing.packed_texts(texts(spark, folder))
 
 
 @query(r"""WITH w AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS words FROM eval_items WHERE text IS NOT NULL),
@@ -132,25 +138,25 @@ s AS (SELECT DISTINCT doc_id, ' ' || array_to_string(words[i:i+19], ' ') || ' '
 SELECT DISTINCT doc_id, item_id FROM s JOIN v USING (passage)""")
 def p9_found(spark, folder):
     """Documents and the items they leak."""
-    return leaks.leaked_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return leaks.leaked_items(texts(spark, folder), table(spark, folder, "eval_items"))
 
 
 @query()
 def p9_reparameterised(spark, folder):
     """Documents and the items of which they have passages with other numbers, names or units."""
-    return leaks.reparameterised_items(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return leaks.reparameterised_items(texts(spark, folder), table(spark, folder, "eval_items"))
 
 
 @query()
 def p10_found(spark, folder):
     """Documents with garbled sequences."""
-    return garbled.garbled_documents(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id").distinct()
+    return garbled.garbled_documents(texts(spark, folder).select("doc_id", "text")).select("doc_id").distinct()
 
 
 @query()
 def p10_restored(spark, folder):
     """Garbled documents and their text as far as it can be restored."""
-    return garbled.restored_documents(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "restored", "complete")
+    return garbled.restored_documents(texts(spark, folder).select("doc_id", "text")).select("doc_id", "restored", "complete")
 
 
 @query()
@@ -168,10 +174,10 @@ def p4_report(spark, folder):
 @query()
 def p6_found(spark, folder):
     """Documents that are not prose."""
-    return quality.not_prose(quality.text_statistics(table(spark, folder, "documents"))).select("doc_id").distinct()
+    return quality.not_prose(quality.text_statistics(texts(spark, folder))).select("doc_id").distinct()
 
 
 @query()
 def p6_stats(spark, folder):
     """Text statistics of every document."""
-    return quality.text_statistics(table(spark, folder, "documents"))
+    return quality.text_statistics(texts(spark, folder))
