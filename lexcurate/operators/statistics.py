@@ -122,3 +122,23 @@ def validation(df: DataFrame, limit: float = DRIFT_PERCENT) -> DataFrame:
 def is_valid(df: DataFrame) -> bool:
     """No error among the checks; warnings don't count. Four rows reach the driver."""
     return not any(r["severity"] == "error" for r in validation(df).collect())
+
+
+def pass_rate(funnel: DataFrame) -> DataFrame:
+    """One row from :func:`lexcurate.operators.filters.funnel`: processed and passed documents, percent, and rejects that
+    aren't by length."""
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("documents"))), F.lit(0))
+    passed = F.col("reason") == "pass"
+    one = funnel.agg(total(F.lit(True)).alias("processed"), total(passed).alias("passed"), total(~passed & ~F.col("reason").isin("too_short", "too_long")).alias("filtered"))
+    return one.withColumn("percent", T.percent(F.col("passed"), F.col("processed")))
+
+
+def running_state(batches: DataFrame, sums: Sequence[str], batch: str = "batch") -> DataFrame:
+    """One row per batch with the totals of ``sums`` up to it, as ``total_<name>``; one row per batch comes in."""
+    w = Window.partitionBy().orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
+    return batches.select(batch, *(F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"total_{c}") for c in sums))
+
+
+def throughput(rows: int, seconds: float) -> float:
+    """Rows a second, 0 for no time."""
+    return rows / seconds if seconds > 0 else 0.0

@@ -146,6 +146,12 @@ def q_citation_hits(spark, folder):
     return docs.agg(F.array(*each).alias("n")).select(F.posexplode("n").alias("k", "documents")).select((F.col("k") + 1).alias("pattern"), "documents")
 
 
+@query(f"""SELECT count(*) AS processed, count(*) FILTER (reason = 'pass') AS passed, count(*) FILTER (reason NOT IN ('pass', 'too_short', 'too_long')) AS filtered,
+round(count(*) FILTER (reason = 'pass') * 100.0 / count(*), 6) AS percent FROM (SELECT {REASON_SQL} AS reason FROM documents)""")
+def q_pass_rate(spark, folder):
+    return statistics.pass_rate(filters.funnel(texts(spark, folder))).withColumn("percent", F.round("percent", 6))
+
+
 # ---------------------------------------------------------------- text
 
 
@@ -567,6 +573,16 @@ def q_target_stop(spark, folder):
     return sampling.batches_until(sizes, 450)
 
 
+@query("""SELECT batch, CAST(sum(rows) OVER w AS BIGINT) AS total_rows, CAST(sum(tokens) OVER w AS BIGINT) AS total_tokens, CAST(sum(invalid) OVER w AS BIGINT) AS total_invalid FROM (
+SELECT CAST(strftime(timestamp, '%Y%m') AS BIGINT) AS batch, count(*) AS rows, coalesce(sum(input_tokens), 0) AS tokens, count(*) FILTER (score IS NULL OR NOT score BETWEEN 0 AND 5) AS invalid FROM annotations GROUP BY 1)
+WINDOW w AS (ORDER BY batch NULLS FIRST ROWS UNBOUNDED PRECEDING)""")
+def q_running_state(spark, folder):
+    """Totals of an annotation run up to each month, as its state would have them."""
+    rows = table(spark, folder, "annotations").groupBy(F.date_format("timestamp", "yyyyMM").cast("long").alias("batch"))
+    sums = rows.agg(F.count("*").alias("rows"), F.sum("input_tokens").alias("tokens"), F.sum(statistics.invalid_score(F.col("score")).cast("long")).alias("invalid"))
+    return statistics.running_state(sums, ["rows", "tokens", "invalid"])
+
+
 # ---------------------------------------------------------------- sources
 
 
@@ -664,6 +680,15 @@ def q_metric_lines(spark, folder):
     return rows.select("epoch", T.metric_line(["f1"], [F.col("f1")], F.col("epoch")).alias("line"))
 
 
+@query(f"SELECT name, f1 AS best FROM {RESULTS_SQL}")
+def q_experiments(spark, folder):
+    """Result files written and read again."""
+    out = scratch(spark)
+    results = spark.createDataFrame(RESULTS, "grp string, name string, f1 double").select("name", F.col("f1").alias("best_f1_macro"))
+    results.withColumn("experiment", F.col("name")).repartition("name").write.partitionBy("experiment").json(out)
+    return sources.experiments(spark, f"{out}/*/*.json").select(F.regexp_replace("name", "^experiment=", "").alias("name"), "best")
+
+
 # ---------------------------------------------------------------- scorers, models, streams
 
 

@@ -99,6 +99,24 @@ def json_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.createDataFrame([tuple(None for _ in empty.columns)], empty.schema)
 
 
+def experiments(spark: SparkSession, pattern: str) -> DataFrame:
+    """``name, config, history, best`` of each result file that matches; ``name`` is the file's folder. Nothing matches: no rows."""
+    try:
+        rows = spark.read.schema(EXPERIMENT).option("multiLine", "true").json(pattern)
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        rows = spark.createDataFrame([], EXPERIMENT).withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("name")
+    return rows.select(name, "config", F.col("training_history").alias("history"), F.col("best_f1_macro").alias("best"))
+
+
+def unfinished(names: Sequence[str], results: DataFrame) -> list[str]:
+    """Of the configurations named those without a result."""
+    done = {r["name"] for r in results.filter(F.col("name").isin(list(names))).select("name").distinct().collect()}
+    return [n for n in names if n not in done]
+
+
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """``text_hash`` rows of a registry: a JSON file or a Parquet table; nothing if it isn't there."""
     if path.endswith(".json"):
