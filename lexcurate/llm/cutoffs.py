@@ -3,7 +3,8 @@
 The cutoff of a site is an order statistic, the minimiser of its convex pinball loss. All sites are solved at
 once by cutting planes: each round aggregates loss and subgradient at one trial point per site, the next trial
 point is where the two tangents of the bracket meet, and as soon as the neighbouring score of a trial point
-is the one sought, it is taken exactly.
+is the one sought, it is taken exactly. Every third trial point is a random score of the bracket instead, so that the
+number of rounds follows the logarithm of the number of scores whatever their distribution.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from lexcurate.functions.urls import site
 from lexcurate.plans.lineage import checkpointed, tabled
 
-FRACTION, LOW, HIGH, SALTS, BISECT_EVERY, MAX_ROUNDS = 0.25, 0.0, 5.0, 16, 3, 200
+FRACTION, LOW, HIGH, SALTS, PIVOT_EVERY, MAX_ROUNDS = 0.25, 0.0, 5.0, 16, 3, 1000
 
 
 def valid_score(score: Column, low: float = LOW, high: float = HIGH) -> Column:
@@ -51,7 +52,7 @@ def score_cutoffs(best: DataFrame, fraction: float = FRACTION) -> DataFrame:
         "site", "total", F.ceil(F.col("total") * F.lit(fraction)).cast("long").alias("need"), "lo", "hi",
         (tau * (F.col("s") - F.col("lo") * F.col("total"))).alias("f_lo"), (-tau * F.col("total")).alias("g_lo"),
         ((1 - tau) * (F.col("hi") * F.col("total") - F.col("s"))).alias("f_hi"), ((1 - tau) * F.col("total")).alias("g_hi"),
-        F.lit(None).cast("double").alias("cutoff"), F.lit(None).cast("long").alias("kept"),
+        F.lit(None).cast("double").alias("pivot"), F.lit(None).cast("double").alias("cutoff"), F.lit(None).cast("long").alias("kept"),
     )
     state = checkpointed(state)
     done, round_no = None, 0
@@ -61,20 +62,23 @@ def score_cutoffs(best: DataFrame, fraction: float = FRACTION) -> DataFrame:
             raise RuntimeError("the brackets did not close")
         meet = (F.col("f_hi") - F.col("f_lo") + F.col("g_lo") * F.col("lo") - F.col("g_hi") * F.col("hi")) / (F.col("g_lo") - F.col("g_hi"))
         middle = F.col("lo") + (F.col("hi") - F.col("lo")) / 2
-        trial = middle if round_no % BISECT_EVERY == 0 else F.coalesce(F.when(meet.between(F.col("lo"), F.col("hi")), meet), middle)
+        trial = F.coalesce("pivot", middle) if round_no % PIVOT_EVERY == 0 else F.coalesce(F.when(meet.between(F.col("lo"), F.col("hi")), meet), "pivot", middle)
         asked = state.withColumn("t", trial)
-        spread = asked.select("site", "t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        spread = asked.select("site", "t", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
         at = points.join(spread, ["site", "salt"])
         x, n, t = F.col("score"), F.col("n"), F.col("t")
         above, below = F.when(x >= t, x), F.when(x < t, x)
+        drawn = F.struct(F.xxhash64(F.lit(round_no), x).alias("h"), x.alias("x"))
         partial = at.groupBy("site", "salt").agg(
             F.sum(F.when(x >= t, n).otherwise(0)).alias("ge"), F.min(above).alias("next"), F.max(below).alias("prev"),
             F.min_by(n, above).alias("n_next"), F.max_by(n, below).alias("n_prev"),
             F.sum(n * F.when(x >= t, tau * (x - t)).otherwise((1 - tau) * (t - x))).alias("loss"),
+            F.max(F.when((x > t) & (x <= F.col("hi")), drawn)).alias("up"), F.max(F.when((x < t) & (x >= F.col("lo")), drawn)).alias("down"),
         )
         seen = partial.groupBy("site").agg(
             F.sum("ge").alias("ge"), F.min("next").alias("next"), F.max("prev").alias("prev"),
             F.min_by("n_next", "next").alias("n_next"), F.max_by("n_prev", "prev").alias("n_prev"), F.sum("loss").alias("loss"),
+            F.max("up").alias("up"), F.max("down").alias("down"),
         )
         new = asked.join(seen, "site")
         enough = F.col("ge") >= F.col("need")
@@ -87,6 +91,7 @@ def score_cutoffs(best: DataFrame, fraction: float = FRACTION) -> DataFrame:
             F.when(enough, F.col("t")).otherwise(F.col("lo")).alias("lo"), F.when(enough, F.col("hi")).otherwise(F.col("t")).alias("hi"),
             F.when(enough, F.col("loss")).otherwise(F.col("f_lo")).alias("f_lo"), F.when(enough, slope).otherwise(F.col("g_lo")).alias("g_lo"),
             F.when(enough, F.col("f_hi")).otherwise(F.col("loss")).alias("f_hi"), F.when(enough, F.col("g_hi")).otherwise(slope).alias("g_hi"),
+            F.when(enough, F.col("up.x")).otherwise(F.col("down.x")).alias("pivot"),
             F.when(is_next, F.col("next")).when(is_prev, F.col("prev")).alias("cutoff"),
             F.when(is_next, F.col("ge")).when(is_prev, F.col("ge") + F.col("n_prev")).alias("kept"),
         )

@@ -144,11 +144,11 @@ def test_cutoffs_like_sorting(spark, rows, fraction):
 
 
 def test_cutoffs_with_ties_and_spread_values(spark):
-    rows = [("t", 3.0)] * 100 + [("u", 1.0)] * 75 + [("u", 4.0)] * 25 + [("w", 5.0 * 2.0**-k) for k in range(200)] + [(None, 1.0), ("v", None)]
+    rows = [("t", 3.0)] * 100 + [("u", 1.0)] * 75 + [("u", 4.0)] * 25 + [("w", 5.0 * 2.0**-k) for k in range(200)] + [("z", 2.0 ** (-5 * k)) for k in range(200)] + [(None, 1.0), ("v", None)]
     df = spark.createDataFrame([(str(k), s, x) for k, (s, x) in enumerate(rows)], "id string, site string, score double")
     got = {r["site"]: (r["cutoff"], r["kept"]) for r in cutoffs.score_cutoffs(df).collect()}
-    assert got == {"t": (3.0, 100), "u": (4.0, 25), "w": (5.0 * 2.0**-49, 50)}
-    assert cutoffs.kept_above_cutoff(df).count() == 175 and cutoffs.score_cutoffs(df.limit(0)).count() == 0
+    assert got == {"t": (3.0, 100), "u": (4.0, 25), "w": (5.0 * 2.0**-49, 50), "z": (2.0**-245, 50)}
+    assert cutoffs.kept_above_cutoff(df).count() == 225 and cutoffs.score_cutoffs(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         cutoffs.score_cutoffs(df, 0)
 
