@@ -248,7 +248,7 @@ def q_dedup_keep_first(spark, folder):
     return dedup.keep_first(docs.select("doc_id", T.text_hash(F.col("text")).alias("h")), F.col("h"), ["doc_id"]).select("doc_id")
 
 
-@query("SELECT id, score, url FROM (SELECT id, score, url, row_number() OVER (PARTITION BY id ORDER BY score NULLS FIRST, url NULLS FIRST) AS k FROM (SELECT id, CASE WHEN NOT isnan(score) THEN score END AS score, url FROM scored)) WHERE k = 1")
+@query("SELECT id, score, url FROM (SELECT id, score, url, row_number() OVER (PARTITION BY id ORDER BY score NULLS FIRST, url NULLS FIRST) AS k FROM (SELECT id, CASE WHEN CAST(score AS VARCHAR) <> 'nan' THEN score END AS score, url FROM scored)) WHERE k = 1")
 def q_keep_lowest(spark, folder):
     """Whole rows kept in another order: the lowest score of each id."""
     rows = table(spark, folder, "scored").select("id", F.nanvl("score", F.lit(None)).alias("score"), "url")
@@ -313,17 +313,17 @@ def q_mean_vector(spark, folder):
     return flat.select("label", (F.col("p") + 1).alias("dim"), F.round("mean", 6).alias("mean"))
 
 
-@query("SELECT id, score FROM scored WHERE score >= 3 AND NOT isnan(score)")
+@query("SELECT id, score FROM scored WHERE score >= 3 AND CAST(score AS VARCHAR) <> 'nan'")
 def q_threshold(spark, folder):
     return tiers.at_least(table(spark, folder, "scored").select("id", "score"))
 
 
-@query("SELECT id, score, tier FROM scored, (VALUES ('default', 3.0), ('high_quality', 4.0), ('supreme', 4.8)) t(tier, least) WHERE score >= least AND NOT isnan(score)")
+@query("SELECT id, score, tier FROM scored, (VALUES ('default', 3.0), ('high_quality', 4.0), ('supreme', 4.8)) t(tier, least) WHERE score >= least AND CAST(score AS VARCHAR) <> 'nan'")
 def q_tiers(spark, folder):
     return tiers.tiered(table(spark, folder, "scored").select("id", "score"))
 
 
-FIRST_SQL = "SELECT id, max(score) AS score FROM scored WHERE NOT isnan(score) AND id IS NOT NULL GROUP BY 1"
+FIRST_SQL = "SELECT id, max(score) AS score FROM scored WHERE CAST(score AS VARCHAR) <> 'nan' AND id IS NOT NULL GROUP BY 1"
 TIER_SPLIT_SQL = f"""SELECT id, score, tier, CASE WHEN k <= ceil(n * 0.1) THEN 'test' ELSE 'train' END AS split FROM (
 SELECT *, row_number() OVER (PARTITION BY tier ORDER BY md5('42:' || id), id) AS k, count(*) OVER (PARTITION BY tier) AS n FROM ({FIRST_SQL}), (VALUES ('default', 3.0), ('high_quality', 4.0), ('supreme', 4.8)) t(tier, least) WHERE score >= least)"""
 
@@ -344,12 +344,12 @@ def q_tier_stats(spark, folder):
     return tiers.tier_statistics(_tier_split(spark, folder)).withColumn("mean", F.round("mean", 6))
 
 
-@query("SELECT id, score, CASE WHEN score >= 4.5 AND NOT isnan(score) THEN 'excellent' WHEN score >= 3 AND score < 3.5 THEN 'borderline' END AS band FROM scored")
+@query("SELECT id, score, CASE WHEN score >= 4.5 AND CAST(score AS VARCHAR) <> 'nan' THEN 'excellent' WHEN score >= 3 AND score < 3.5 THEN 'borderline' END AS band FROM scored")
 def q_bands(spark, folder):
     return tiers.bands(table(spark, folder, "scored").select("id", "score"))
 
 
-@query("SELECT id, CASE WHEN score >= 3 THEN 'LEGAL' ELSE 'NON-LEGAL' END AS label, round(score, 3) AS shown FROM predictions WHERE score IS NOT NULL")
+@query("SELECT id, CASE WHEN score >= 3 THEN 'LEGAL' ELSE 'NON-LEGAL' END AS label, CAST(round(CAST(CAST(score AS VARCHAR) AS DECIMAL(18, 9)), 3) AS DOUBLE) AS shown FROM predictions WHERE score IS NOT NULL")
 def q_binary_label(spark, folder):
     return table(spark, folder, "predictions").filter("score is not null").select("id", S.label_name(F.col("score")).alias("label"), F.round("score", 3).alias("shown"))
 
@@ -393,7 +393,7 @@ def q_class_weights(spark, folder):
     return metrics.class_weights(statistics.histogram(table(spark, folder, "annotations"))).withColumn("weight", F.round("weight", 6))
 
 
-@query("SELECT round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS std FROM scored WHERE NOT isnan(score)")
+@query("SELECT round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS std FROM scored WHERE CAST(score AS VARCHAR) <> 'nan'")
 def q_score_moments(spark, folder):
     df = metrics.moments(table(spark, folder, "scored"))
     return df.select(F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
@@ -432,13 +432,13 @@ def q_share(spark, folder):
 
 
 @query("""SELECT count(*) AS n, round(avg(score), 6) AS mean, round(stddev_samp(score), 6) AS std, min(score) AS least, max(score) AS largest, round(quantile_cont(score, 0.25), 6) AS q25, round(quantile_cont(score, 0.5), 6) AS q50, round(quantile_cont(score, 0.75), 6) AS q75
-FROM scored WHERE NOT isnan(score)""")
+FROM scored WHERE CAST(score AS VARCHAR) <> 'nan'""")
 def q_describe(spark, folder):
     df = statistics.describe(table(spark, folder, "scored"), "score")
     return df.withColumns({c: F.round(c, 6) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
-@query("SELECT CAST(p AS DOUBLE) AS p, round(v, 6) AS value FROM (SELECT unnest([0.5, 0.75, 0.9, 0.95, 0.99]) AS p, unnest(quantile_cont(score, [0.5, 0.75, 0.9, 0.95, 0.99])) AS v FROM scored WHERE NOT isnan(score))")
+@query("SELECT CAST(p AS DOUBLE) AS p, round(v, 6) AS value FROM (SELECT unnest([0.5, 0.75, 0.9, 0.95, 0.99]) AS p, unnest(quantile_cont(score, [0.5, 0.75, 0.9, 0.95, 0.99])) AS v FROM scored WHERE CAST(score AS VARCHAR) <> 'nan')")
 def q_percentiles(spark, folder):
     return statistics.percentiles(table(spark, folder, "scored"), "score", (0.5, 0.75, 0.9, 0.95, 0.99)).withColumn("value", F.round("value", 6))
 
@@ -597,7 +597,7 @@ def q_row_count(spark, folder):
 
 
 @query("""SELECT id, text, score, reasoning, url, source_rank FROM (SELECT id, text, CAST(score AS BIGINT) AS score, reasoning, url, 0 AS source_rank FROM annotations
-UNION ALL SELECT id, text, CAST(round(score) AS BIGINT), NULL, url, 1 FROM scored WHERE score IS NULL OR NOT isnan(score))""")
+UNION ALL SELECT id, text, CAST(round(score) AS BIGINT), NULL, url, 1 FROM scored WHERE score IS NULL OR CAST(score AS VARCHAR) <> 'nan')""")
 def q_union_align(spark, folder):
     a = table(spark, folder, "annotations").select("id", "text", F.col("score").cast("long").alias("score"), "reasoning", "url")
     b = table(spark, folder, "scored").filter("not isnan(score)").select("id", "text", F.round("score").cast("long").alias("score"), "url")
