@@ -63,7 +63,7 @@ def p1_cleaned(spark, folder):
 
 
 BEST_SQL = f"""
-best AS (SELECT id, min({site_sql("url")}) AS site, max(CASE WHEN NOT isnan(score) AND score BETWEEN 0 AND 5 THEN score END) AS score FROM scored WHERE id IS NOT NULL GROUP BY 1)
+best AS (SELECT id, min({site_sql("url")}) AS site, max(CASE WHEN CAST(score AS VARCHAR) <> 'nan' AND score BETWEEN 0 AND 5 THEN score END) AS score FROM scored WHERE id IS NOT NULL GROUP BY 1)
 """
 CUTOFF_SQL = f"""{BEST_SQL},
 placed AS (SELECT site, score, count(*) OVER (PARTITION BY site ORDER BY score DESC) AS kept, count(*) OVER (PARTITION BY site) AS total FROM best WHERE site IS NOT NULL AND score IS NOT NULL),
