@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,10 +44,13 @@ def parquet(spark: SparkSession, path: str | list[str], columns: Sequence[str] =
 def spread(df: DataFrame) -> DataFrame:
     """A scan that comes in less than half as many pieces as there are cores, dealt out to all of them before costly work.
 
-    That is so for tables of a file or two; larger ones are left as they are, without a shuffle.
+    That is so for tables of a file or two; larger ones are left as they are, without a shuffle. The rows dealt out are
+    observed, which also keeps costly conditions from moving below the exchange.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores).observe(f"spread-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
 
 
 def batches(spark: SparkSession, folder: str) -> DataFrame:
