@@ -15,7 +15,7 @@ from lexcurate.functions import text as T
 from lexcurate.functions.lexicons import ANNOTATION, STAGE1, Lexicon
 from lexcurate.operators import dedup, filters, learning, sampling, scoring, statistics, tiers
 from lexcurate.plans.lineage import tabled
-from lexcurate.plans.session import session
+from lexcurate.plans.session import session, ship
 from lexcurate.sources import sinks
 
 
@@ -232,7 +232,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
-    return COMMANDS[a.command](spark or session(), a)
+    spark = spark or session()
+    ship(spark)
+    return COMMANDS[a.command](spark, a)
 
 
 if __name__ == "__main__":

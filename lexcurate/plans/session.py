@@ -1,7 +1,13 @@
-"""Session defaults for stand-alone runs; a session that exists already is used as it is."""
+"""Session defaults for stand-alone runs, and the package for workers; a session that exists already is used as it is."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +28,25 @@ def session(app: str = "lexcurate", master: str | None = None, **conf: str) -> S
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in the Python workers of a session, wherever they run; once per application.
+
+    Needed where the package isn't installed on the executors and isn't on their ``PYTHONPATH``.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="lexcurate-package-")  # the driver's own; executors fetch the file from the driver
+    atexit.register(shutil.rmtree, folder, True)
+    archive = Path(folder, f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
