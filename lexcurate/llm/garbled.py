@@ -38,6 +38,9 @@ TONGUES = {
     "de": "der die den dem und von mit ist nicht ein eine für im sich auch zu das".split(),
     "pt": "os da dos em no na um uma não ao mais foi ou pela pelo o".split(),
 }
+#: fixed values: letters beyond ASCII of the five languages, and which of them write the letters that other languages lack
+FIVE = frozenset("àâäáãçèéêëíîïñóôöõùúûüÿœæßÀÂÄÁÃÇÈÉÊËÍÎÏÑÓÔÖÕÙÚÛÜŸŒÆẞ")
+WRITE = {"ñ": "es", "ã": "pt", "õ": "pt", "à": "fr pt", "â": "fr pt", "ê": "fr pt", "ö": "de", "ü": "de es", "ä": "de"} | dict.fromkeys("èëîïùûÿœæ", "fr")
 TONGUE = {w: tongue for tongue, words in TONGUES.items() for w in words}
 LETTERS = re.compile(r"[^\W\d_]+")
 LINE_END, PARAGRAPH_END = re.compile(r"[ \t\r]*(?:\n|\Z)"), re.compile(r"[ \t\r]*(?:\n[^\S\n]*(?:\n|\Z)|\Z)")
@@ -57,6 +60,13 @@ def originals() -> list[str]:
     return sorted({chr(c) for c in range(0x80, 0x100)} | {c for c in extra if ord(c) > 0xFF})
 
 
+def beyond() -> list[str]:
+    """Characters of three and four UTF-8 bytes that texts of any language hold: punctuation, currencies, letterlike signs, arrows,
+    mathematics, boxes, shapes, ligatures, the byte order mark and pictures. Their forms are looked for in full, so they are proof."""
+    ranges = ((0x2000, 0x206F), (0x20A0, 0x20BF), (0x2100, 0x22FF), (0x2500, 0x27BF), (0xFB00, 0xFB06), (0xFEFF, 0xFEFF), (0xFFFD, 0xFFFD), (0x1F300, 0x1FAFF))
+    return [chr(c) for first, last in ranges for c in range(first, last + 1)]
+
+
 @lru_cache(maxsize=1)
 def tables():
     """The automaton; its values are a form, whether it is wide, and its ways: (original, encoding or pair of encodings)."""
@@ -64,7 +74,7 @@ def tables():
 
     wide: dict[str, list[tuple[str, str]]] = {}
     for encoding in WIDE:
-        for c in originals():
+        for c in sorted({*originals(), *beyond()}):
             form = "".join(_byte(b, encoding) for b in c.encode("utf-8"))
             if form != c and not form.isascii():
                 wide.setdefault(form, []).append((c, encoding))
@@ -102,6 +112,22 @@ def _letter(c: str) -> bool:
     return _script(c) == "latin"
 
 
+def _foreign(text: str, i: int, c: str, seen: str) -> bool:
+    """Whether ``seen``, a letter that none of the five languages has, stands in a word of one that has ``c``."""
+    left, right = text[i - 1 : i] if i else "", text[i + 1 : i + 2]
+    if c == "ñ" and _low(left) and right and right in VOWELS:
+        return True  # Polish has no ń before a vowel
+    if (c == "ã" and right and right in "oe") or (c == "õ" and text[i + 1 : i + 3] == "es"):
+        return _low(left)
+    start = i
+    while start and _letter(text[start - 1]):
+        start -= 1
+    # a capital may begin a name from elsewhere
+    if not text[start].islower() or not (_low(left) or _low(right) or c == "à"):
+        return False
+    return _spoken(_line(text, i), WRITE.get(c, "es fr pt")) > 0
+
+
 def _spoken(text: str, tongues: str) -> int:
     """Words of ``text`` that show one of ``tongues`` less those that show another language."""
     return sum((1 if TONGUE[w] in tongues else -1) for w in LETTERS.findall(text.lower()) if w in TONGUE)
@@ -188,7 +214,7 @@ def _narrow(text: str, i: int, c: str, seen: str) -> bool:
                 return inside
             if seen.islower() and c.isupper():
                 return left.isupper() and right.isupper() and left.isascii() and right.isascii()
-            return False
+            return seen.islower() and seen not in FIVE and c in FIVE and _foreign(text, i, c, seen)
         if seen in ORDINARY:
             return False
         category = unicodedata.category(seen)

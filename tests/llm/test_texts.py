@@ -337,6 +337,22 @@ def test_lone_hard_spaces_and_ellipses(encoding):
         assert not garbled.is_garbled(text)
 
 
+def test_letters_that_no_language_here_has():
+    for text in ["los años de la señora", "Le père de la requérante doit être entendu", "O juiz não viu as razões da parte", "dans la cour, à la fin"]:
+        broken = text.encode("cp1252").decode("cp1250")
+        assert garbled.is_garbled(broken) and garbled.restored(broken) == text
+    assert garbled.is_garbled("Das Gericht hat für die Klägerin und den Hörer entschieden".encode("mac_roman").decode("cp1252", "replace").replace("�", ""))
+    for text in ["In the matter of Dubček, Wałęsa and Kovač, for the court", "l’arrêt de la cour dans Gdańsk c. Poznański", "la causa de Kovačević y los demás"]:
+        assert not garbled.is_garbled(text)
+
+
+@pytest.mark.parametrize("encoding", ["cp1252", "latin-1", "mac_roman", "cp1250", "cp437", "cp850"])
+def test_signs_beyond_latin_1(encoding):
+    for c in "\ufeff\u202f\u2011\u2212\u2010→✓ﬁ🙂":
+        broken = "".join(garbled._byte(b, encoding) for b in f"the{c}law".encode())
+        assert garbled.is_garbled(broken) and garbled.restored(broken) == f"the{c}law"
+
+
 def test_lost_characters(spark):
     df = spark.createDataFrame([(1, "versp�tet", 5), (2, "Ã©tÃ©", 6), (3, "ok", 7), (2, "Ã©tÃ©", 6)], "doc_id long, text string, restored int")
     got = {r["doc_id"]: (r["restored"], r["complete"]) for r in garbled.restored_documents(df).collect()}
