@@ -6,7 +6,8 @@ positions), one per shard of texts of similar length. Training texts are streame
 Two texts belong together if at least ``share`` of the longer one's words stand in the same order in the other. Then all but
 ``n - ceil(share * n)`` words of a training text of n words stand in the other one, so among its ``n - ceil(share * n) + c`` rarest
 words at least ``c`` do, wherever they stand. Backward search starts at these words: the first step gives the texts that
-have them, further steps extend to maximal matches. Texts that have ``c`` of them are compared exactly; none is lost.
+have them. Texts that have ``c`` of them are compared exactly; none is lost. These counts and the comparison select. Further steps
+of the search extend to maximal matches, which describe the pairs found.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def words_of(text: Column) -> Column:
 
 
 class TextIndex:
-    """Compressed full-text index of a shard of texts, given as lists of words."""
+    """Full-text index of a shard of texts, given as lists of words."""
 
     def __init__(self, texts: list[list[str]]) -> None:
         self.ids: dict[str, int] = {}
@@ -139,18 +140,30 @@ def _stream(evaluation: pd.DataFrame, training: pd.DataFrame, share: float) -> p
             found = [k for k in found if min(lengths[k], len(ids)) >= share * max(lengths[k], len(ids)) - 1e-9]
             if not found:
                 continue
-            covered: dict[int, set[tuple[int, int]]] = {k: set() for k in found}
-            for p in places:
-                for k, depth in index.maximal_matches(ids, p, set(found)).items():
-                    covered[k].add((p - depth + 1, p))
-            for k in found:
-                common, longest = common_words(ids, index.texts[k]), max(len(ids), lengths[k])
-                if common >= share * longest - 1e-9:
-                    spans = _merged(sorted(covered[k]))
-                    out.append((key, keys[k], common, longest, len(spans), sum(b - a + 1 for a, b in spans)))
+            pairs = [(k, common_words(ids, index.texts[k]), max(len(ids), lengths[k])) for k in found]
+            pairs = [(k, common, longest) for k, common, longest in pairs if common >= share * longest - 1e-9]
+            covered: dict[int, set[tuple[int, int]]] = {k: set() for k, _, _ in pairs}
+            for p in places if pairs else ():
+                for k, depth in index.maximal_matches(ids, p, set(covered)).items():
+                    covered[k].add((p - depth + 1, _last(ids, p, depth, index.texts[k])))
+            for k, common, longest in pairs:
+                spans = _merged(sorted(covered[k]))
+                out.append((key, keys[k], common, longest, len(spans), sum(b - a + 1 for a, b in spans)))
     return pd.DataFrame(out, columns=["train_key", "eval_key", "common", "longest", "spans", "span_words"])
 
 
+def _last(text: list[int], end: int, depth: int, other: list[int]) -> int:
+    """The furthest place to which the match of ``depth`` words that ends at ``end`` goes on in ``other``."""
+    part, last = text[end - depth + 1 : end + 1], end
+    for q, word in enumerate(other):
+        if word == text[end] and q + 1 >= depth and other[q - depth + 1 : q + 1] == part:
+            n = 1
+            while end + n < len(text) and q + n < len(other) and text[end + n] == other[q + n]:
+                n += 1
+            last = max(last, end + n - 1)
+    return last
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in spans:
@@ -163,7 +176,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def matching_texts(training: DataFrame, evaluation: DataFrame, share: float = SHARE, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``train_key, eval_key, common, longest, spans, span_words`` for pairs of texts ``key, words, n`` (words joined by spaces,
-    each text once a side) that belong together. ``spans`` and ``span_words`` sum up the merged maximal matches that end at a rare word.
+    each text once a side) that belong together. ``spans`` and ``span_words`` sum up the merged maximal matches that
+    hold a rare word, in their whole length.
 
     Shards hold evaluation texts of one band of lengths and up to about ``shard_words`` words; a training text
     visits the shards of its band and the two beside it, as others cannot reach the share. Visitors come in blocks of

@@ -184,6 +184,17 @@ def test_overlaps_like_brute_force(spark):
     assert overlaps.overlapping_ids(df.limit(0), split).count() == 0 and overlaps.overlapping_ids(df, split.limit(0)).count() == 0
 
 
+def test_spans_hold_whole_matches():
+    import pandas as pd
+
+    text = [f"w{k}" for k in range(10)] + ["the"] * 2 + ["court"] * 10
+    side = lambda words: pd.DataFrame([("k", " ".join(words), len(words))], columns=["key", "words", "n"])
+    got = overlaps._stream(side(text), side(text), 0.85).iloc[0]
+    assert (got["common"], got["spans"], got["span_words"]) == (22, 1, 22)
+    got = overlaps._stream(side(text), side([*text[:5], "new", *text[6:]]), 0.85).iloc[0]
+    assert (got["common"], got["spans"], got["span_words"]) == (21, 2, 21)
+
+
 # ---------------------------------------------------------------- prose labels
 
 PROSE = [
