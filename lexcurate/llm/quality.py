@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexcurate.llm.lines import with_removed
+from lexcurate.plans.lineage import tabled
 
 STATES = ("prose", "list", "table", "junk")
 #: fixed values: common words of English, Spanish, French, German and Portuguese
@@ -30,7 +31,7 @@ COMMON = {
     "pt": "o a os as de do da dos das e em no na que um uma por com se não para ao à como mais foi ou seu sua pela",
 }
 WORDS = frozenset(w for words in COMMON.values() for w in words.split())
-MIN_CHARS, MIN_SHARE, FIT_DOCUMENTS, FIT_ROUNDS, PRIOR_LINES = 60, 0.5, 1000, 2, 4000
+MIN_CHARS, MIN_SHARE, FIT_ROUNDS, PRIOR_LINES = 60, 0.5, 2, 4000
 MARKED = re.compile(r"\s*(?:[-*•·–—>+]|\(?\[?[0-9]{1,4}[.)\]]|\(?[a-zA-Z][.)]|https?://)\s*\S")
 LAST_ENDED = frozenset(".!?…:")
 DELIMITERS = re.compile(r"[|;\t/,=:]|\.{4,}|  +")
@@ -126,33 +127,64 @@ def _lines(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows, "int64").reshape(-1, 8), np.array(lengths, "int64")
 
 
+def _counts(x: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
+    """States by what was seen in their lines: words, common words, lines, and each value of the features."""
+    states, filled = decode(x, lengths, model), x[:, 7] > 0
+    out = np.zeros((4, 3 + sum(SIZES)), "int64")
+    for s in range(4):
+        mine = x[filled & (states == s)]
+        values = [np.bincount(mine[:, 2 + k], minlength=size) for k, size in enumerate(SIZES)]
+        out[s] = [mine[:, 0].sum(), mine[:, 1].sum(), len(mine), *np.concatenate(values)]
+    return out
+
+
+def _updated(first: Model, counts: np.ndarray, prior_lines: int) -> Model:
+    """The model of the counts; ``first`` counts like ``prior_lines`` lines of each state."""
+    words = 10 * prior_lines
+    common = (counts[:, 1] + first.common * words) / (counts[:, 0] + words)
+    ends = 3 + np.cumsum(SIZES)
+    tables = [(counts[:, e - size : e] + t * prior_lines) / (counts[:, 2:3] + prior_lines) for t, size, e in zip(first.tables, SIZES, ends)]
+    return Model(common, tuple(tables), first.start)
+
+
 def fit(texts: list[str | None], rounds: int = FIT_ROUNDS, prior_lines: int = PRIOR_LINES) -> Model:
     """The model after ``rounds`` of decoding and counting, starting from :func:`initial`, which counts like ``prior_lines`` lines of
     each state."""
     x, lengths = _lines(texts)
     first = model = initial()
     for _ in range(rounds if len(x) else 0):
-        states, filled = decode(x, lengths, model), x[:, 7] > 0
-        common, tables = [], [np.array(t) for t in first.tables]
-        for s in range(4):
-            mine = x[filled & (states == s)]
-            words = 10 * prior_lines
-            common.append((mine[:, 1].sum() + first.common[s] * words) / (mine[:, 0].sum() + words))
-            for k, size in enumerate(SIZES):
-                tables[k][s] = (np.bincount(mine[:, 2 + k], minlength=size) + first.tables[k][s] * prior_lines) / (len(mine) + prior_lines)
-        model = Model(np.array(common), tuple(tables), first.start)
+        model = _updated(first, _counts(x, lengths, model), prior_lines)
     return model
 
 
-def fit_on(docs: DataFrame, documents: int = FIT_DOCUMENTS) -> Model:
-    """:func:`fit` on about ``documents`` texts, those with the smallest hashes of their ids; all of them if there are
-    no more. The driver holds no more than twice as many."""
-    ids = docs.filter("doc_id is not null and text is not null")
-    n = ids.count()
-    if n > documents:
-        ids = ids.filter(F.xxhash64("doc_id") < -(2**63) + int(2**64 * documents / n))
-    rows = ids.select("doc_id", "text").limit(2 * documents).collect()
-    return fit([r["text"] for r in sorted(rows)])
+def fit_on(docs: DataFrame, documents: int | None = None, rounds: int = FIT_ROUNDS, prior_lines: int = PRIOR_LINES) -> Model:
+    """:func:`fit` on the texts of all rows with a ``doc_id``, or, if ``documents`` is given, on about so many, those with
+    the smallest hashes of their ids. The features of the lines are kept in a table; each round brings 64 sums to the driver."""
+    rows = docs.filter("doc_id is not null and text is not null")
+    if documents is not None and (n := rows.count()) > documents:
+        rows = rows.filter(F.xxhash64("doc_id") < -(2**63) + int(2**64 * documents / n))
+
+    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x, lengths = _lines(batch["text"])
+            yield pd.DataFrame({"x": [x.astype("int32").tobytes()], "lengths": [lengths.astype("int32").tobytes()]})
+
+    seen = tabled(rows.select("text").mapInPandas(features, "x binary, lengths binary"))
+    first = model = initial()
+    for _ in range(rounds):
+
+        def count(batches: Iterator[pd.DataFrame], model: Model = model) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                total = np.zeros((4, 3 + sum(SIZES)), "int64")
+                for x, lengths in zip(batch["x"], batch["lengths"]):
+                    total += _counts(np.frombuffer(x, "int32").reshape(-1, 8).astype("int64"), np.frombuffer(lengths, "int32").astype("int64"), model)
+                yield pd.DataFrame({"place": np.arange(total.size), "n": total.ravel()})
+
+        sums = {r["place"]: r["n"] for r in seen.mapInPandas(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
+        if not sums:
+            break
+        model = _updated(first, np.array([sums[k] for k in range(4 * (3 + sum(SIZES)))], "int64").reshape(4, -1), prior_lines)
+    return model
 
 
 SCHEMA = (
@@ -193,7 +225,7 @@ def text_statistics(docs: DataFrame, model: Model | None = None, without_repeate
 
     ``words`` are runs without white space or apostrophes; ratios are 0 where there is nothing to count. With
     ``without_repeated`` lines that the site repeats (see :mod:`lexcurate.llm.lines`) have no label and no part in the
-    shares. Null texts count like empty ones. ``model`` is fitted on a bounded sample of ``docs`` if none is given.
+    shares. Null texts count like empty ones. ``model`` is fitted on all of ``docs`` if none is given.
     """
     model = model or fit_on(docs)
     base = docs.select("doc_id", "text", "url")

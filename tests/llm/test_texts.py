@@ -232,6 +232,13 @@ def test_fit_is_bounded_and_keeps_the_labels(spark):
     assert quality.not_prose(quality.text_statistics(df, model)).count() == 150
 
 
+def test_fit_is_on_all_documents(spark):
+    texts = [(PROSE + OTHER)[k % 10] for k in range(2300)]
+    df = spark.createDataFrame([(k // 2, t, None) for k, t in enumerate(texts)], TABLE)
+    got, want = quality.fit_on(df), quality.fit(texts)
+    assert np.array_equal(got.common, want.common) and all(np.array_equal(a, b) for a, b in zip(got.tables, want.tables))
+
+
 def test_repeated_lines_do_not_count(spark):
     notice = "The text above is not legal advice and we accept no liability for any of the errors that are in it."
     rows = [(k, notice + f"\n- Deed {k} Marlow / Pike Holdings\n- Bond {k} Pike / Marlow", "http://a.x/") for k in range(6)]
