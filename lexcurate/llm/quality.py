@@ -24,11 +24,11 @@ from lexcurate.plans.lineage import tabled
 STATES = ("prose", "list", "table", "junk")
 #: fixed values: common words of English, Spanish, French, German and Portuguese
 COMMON = {
-    "en": "the of a an to and in that by for was with is on it as be not or this are at from which but had has have were his their who when if would may no under than said",
-    "es": "el la los las de del y en que un una por con se no a al lo su para como fue más o pero es sin sobre hasta según",
-    "fr": "le la les de des du un une et en que qui à au aux dans par pour sur avec est pas ne se il sa ses été avait l d n s",
-    "de": "der die das den dem des und in zu von mit ist nicht ein eine einer auf für im sich als auch wird wurde aus bei nach dass er sie hat habe ohne wie",
-    "pt": "o a os as de do da dos das e em no na que um uma por com se não para ao à como mais foi ou seu sua pela",
+    "en": "the of a an to and in that by for was with is on it as be not or this are at from which but had has have were his her he she they what when if who will would may than no under said there their any been its",
+    "es": "el la los las de del y en que un una por con se no a al lo su para como fue más o pero sus le ya este esta ha hasta porque cuando muy sin sobre también me entre era desde si según son es",
+    "fr": "le la les de des du un une et en que qui à au aux dans par pour sur avec est pas ne se ce il elle son sa ses plus été était avait ont mais ou leur selon cette sont fut que qu l d n s",
+    "de": "der die das den dem des und in zu von mit ist nicht ein eine einer einem einen auf für im sich als auch es an werden wird wurde aus bei nach dass er sie war hat habe sei ohne über wie trotz zum zur am oder um",
+    "pt": "o a os as de do da dos das e em no na nos nas que um uma por com se não para ao à como mais foi ou mas seu sua pelo pela até sem quando também é era entre depois são num numa esta este",
 }
 WORDS = frozenset(w for words in COMMON.values() for w in words.split())
 MIN_CHARS, MIN_SHARE, FIT_ROUNDS, PRIOR_LINES = 60, 0.5, 2, 4000

@@ -239,6 +239,11 @@ def test_fit_is_on_all_documents(spark):
     assert np.array_equal(got.common, want.common) and all(np.array_equal(a, b) for a, b in zip(got.tables, want.tables))
 
 
+def test_common_words_of_narrative_prose():
+    for words in ["he she they will been there any its", "sus ya este cuando", "ce elle son cette", "einem einen werden war", "nas nos mas é"]:
+        assert quality.line_features(words)[1] == len(words.split())
+
+
 def test_repeated_lines_do_not_count(spark):
     notice = "The text above is not legal advice and we accept no liability for any of the errors that are in it."
     rows = [(k, notice + f"\n- Deed {k} Marlow / Pike Holdings\n- Bond {k} Pike / Marlow", "http://a.x/") for k in range(6)]
