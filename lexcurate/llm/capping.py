@@ -57,7 +57,7 @@ def absorb(state: CapState, scored: DataFrame) -> CapState:
 
     Records are ranked by highest valid score first, ids without a valid score last, equal ones by id in byte
     order. An id that comes again counts with its best score so far, also if it was displaced before.
-    Rows without an id or a site are ignored; equal rows count once; an empty batch changes nothing but the batch number.
+    Rows without an id or a site are ignored (:func:`in_batches` gives their scores to the id's other rows beforehand); equal rows count once; an empty batch changes nothing but the batch number.
     """
     batch = state.batch + 1
     rows = scored.select("id", site(F.col("url")).alias("site"), valid_score(F.col("score")).alias("score"))
@@ -100,10 +100,16 @@ def share_cap(scored: DataFrame, share: int = SHARE) -> int:
 def in_batches(scored: DataFrame, cap: int, batches: int = BATCHES) -> CapState:
     """All rows absorbed in ``batches`` steps. Every row is in exactly one step, by its hash.
 
-    An id without a site in one row and with one in another has the site; with several sites it is held to each.
+    An id without a site in one row and with one in another has the site, and its valid scores of all rows without a site
+    count at each of its sites; with several sites it is held to each.
     """
     state = start(scored.sparkSession, cap)
-    rows = scored.select("id", "url", "score").withColumn("__step", F.pmod(F.xxhash64("id", "url", "score"), F.lit(batches)))
+    named = site(F.col("url")).isNotNull()
+    valid = scored.filter("id is not null").select("id", "url", valid_score(F.col("score")).alias("score"), named.alias("named"))
+    bare = valid.filter("not named and score is not null").groupBy(F.col("id").alias("__id")).agg(F.max("score").alias("__score"))
+    # greatest() passes over nulls
+    whole = valid.filter("named").join(bare, F.col("id") == F.col("__id"), "left").select("id", "url", F.greatest("score", "__score").alias("score"))
+    rows = whole.withColumn("__step", F.pmod(F.xxhash64("id", "url", "score"), F.lit(batches)))
     for step in range(batches):
         state = absorb(state, rows.filter(F.col("__step") == step))
     return state

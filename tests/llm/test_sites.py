@@ -191,3 +191,10 @@ def test_displaced_ids_come_back(spark):
     assert capping.share_cap(one) == 1
     with pytest.raises(ValueError):
         capping.start(spark, 0)
+
+
+def test_scores_of_rows_without_a_site_count(spark):
+    rows = [("a", "http://s/", 2.0), ("a", None, 5.0), ("b", "http://s/", 3.0), ("c", "http://s/", None), ("c", "", 4.0), ("d", None, 5.0)]
+    state = capping.in_batches(spark.createDataFrame(rows, "id string, url string, score double"), 2)
+    assert {(r["id"], r["score"]) for r in state.kept.collect()} == {("a", 5.0), ("c", 4.0)}
+    assert {r["id"] for r in capping.over_cap(state).collect()} == {"b"}
