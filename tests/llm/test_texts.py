@@ -1,5 +1,6 @@
 """Operators over texts: token counts, packing, overlaps, prose labels, leaks, garbled text."""
 
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -11,7 +12,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lexcurate.llm import bpe, budget, garbled, leaks, overlaps, packing, quality
+from lexcurate.llm import bpe, budget, fulltext, garbled, leaks, overlaps, packing, quality
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 VOCABULARIES = ["/opt/tokenizers/byte_bpe_50k.tiktoken", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"]
@@ -126,20 +127,28 @@ def test_common_words(a, b):
     assert overlaps.common_words(a, b) == lcs(a, b)
 
 
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 1 << 24), max_size=200, unique=True), st.lists(st.integers(0, 1 << 25), max_size=50))
+def test_increasing(values, asked):
+    values = np.array(sorted(values), "int64")
+    sequence = fulltext.Increasing(values)
+    assert sequence[np.arange(len(values))].tolist() == values.tolist()
+    asked = np.array([*asked, *values.tolist()], "int64")
+    assert sequence.below(asked).tolist() == np.searchsorted(values, asked).tolist()
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=12), min_size=1, max_size=5), st.lists(st.sampled_from("abcd"), min_size=1, max_size=8))
 def test_backward_search(texts, asked):
-    index = overlaps.TextIndex(texts)
-    ids = [index.ids.get(w, -1) for w in asked]
+    index = pickle.loads(pickle.dumps(fulltext.TextIndex(texts)))
+    codes = np.array([index.ids.get(w, -1) for w in asked])
+    low, high = index.pairs_of_words(codes, np.arange(len(asked)))
     for end in range(len(asked)):
-        want = {}
-        for k, t in enumerate(texts):
-            for depth in range(end + 1, 0, -1):
-                part = asked[end - depth + 1 : end + 1]
-                if any(t[i : i + depth] == part for i in range(len(t))):
-                    want[k] = depth
-                    break
-        assert index.maximal_matches(ids, end, set(range(len(texts)))) == want
+        found = Counter(k for k, t in enumerate(texts) for i in range(len(t) - 1) if t[i : i + 2] == asked[end - 1 : end + 1])
+        assert Counter(int(index.keys[k]) for k in index.text[low[end] : high[end]]) == found
+    names = {k: w for w, k in index.ids.items()}
+    _, words = index.read(np.arange(len(texts)))
+    assert [names[w] for w in words] == [w for k in index.keys for w in texts[int(k)]]
 
 
 def edited(rng, words, n):
@@ -176,23 +185,32 @@ def test_overlaps_like_brute_force(spark):
             if of[a] == "train" != of[b] and min(len(worded[a]), len(worded[b])) >= 20 and lcs(worded[a], worded[b]) >= 0.85 * max(len(worded[a]), len(worded[b])):
                 want.add((min(a, b), max(a, b)))
     assert len(want) > 10
-    for options in ({}, {"shard_words": 100, "block_words": 150}):
+    for options in ({}, {"shard_words": 100, "block_bytes": 10_000}, {"seeds": 1}):
         got = overlaps.overlapping_ids(df, split, **options).collect()
         assert {(r["id_a"], r["id_b"]) for r in got} == want and len(got) == len(want)
     report = overlaps.overlap_report(df, split).collect()
     assert sum(r["pairs"] for r in report) == len(want) and all(0 <= r["share"] <= 1 and r["split"] != "train" for r in report)
+    score = {i: max((s for j, _, s in rows if j == i and 0 <= s <= 5), default=None) for i, _, _ in rows}
+    assert sum(r["disagreeing"] for r in report) == sum(score[a] != score[b] for a, b in want)
+    assert sum(r["overlapping"] for r in report) == len({i for pair in want for i in pair if of[i] != "train"})
+    both = split.union(spark.createDataFrame([("i000", "train", "x"), ("i000", "test", "x")], split.schema))
+    pairs = overlaps.overlapping_ids(df, both).select("eval_id", "train_id").distinct().count()
+    assert sum(r["pairs"] for r in overlaps.overlap_report(df, both).collect() if r["split"] == "test") <= pairs
     assert overlaps.overlapping_ids(df.limit(0), split).count() == 0 and overlaps.overlapping_ids(df, split.limit(0)).count() == 0
 
 
 def test_spans_hold_whole_matches():
-    import pandas as pd
-
     text = [f"w{k}" for k in range(10)] + ["the"] * 2 + ["court"] * 10
-    side = lambda words: pd.DataFrame([("k", " ".join(words), len(words))], columns=["key", "words", "n"])
-    got = overlaps._stream(side(text), side(text), 0.85).iloc[0]
-    assert (got["common"], got["spans"], got["span_words"]) == (22, 1, 22)
-    got = overlaps._stream(side(text), side([*text[:5], "new", *text[6:]]), 0.85).iloc[0]
-    assert (got["common"], got["spans"], got["span_words"]) == (21, 2, 21)
+    index = fulltext.TextIndex([text], ["k"])
+    assert overlaps.matched(index, ["a"], [text]) == [("a", "k", 22, 22, 1, 22)]
+    assert overlaps.matched(index, ["a"], [[*text[:5], "new", *text[6:]]]) == [("a", "k", 21, 22, 2, 21)]
+    assert overlaps.matched(index, ["a"], [text[:2]]) == [] and overlaps.matched(index, [], []) == []
+
+
+def test_texts_too_short_for_the_share():
+    index = fulltext.TextIndex([["a", "b", "c", "d"]], ["k"])
+    with pytest.raises(ValueError, match="share"):
+        overlaps.matched(index, ["a"], [["a", "x", "c", "d"]], share=0.5)
 
 
 # ---------------------------------------------------------------- prose labels
