@@ -103,17 +103,38 @@ def p7_kept(spark, folder):
     return capping.in_batches(scored, capping.share_cap(scored)).kept.select("site", "id", "score", "rank")
 
 
-@query(f"""WITH RECURSIVE named AS (SELECT DISTINCT id, {site_sql("url")} AS site FROM annotations WHERE id IS NOT NULL),
+GROUPS_SQL = f"""named AS (SELECT DISTINCT id, {site_sql("url")} AS site FROM annotations WHERE id IS NOT NULL),
 reach(site, other) AS (SELECT site, site FROM named WHERE site IS NOT NULL UNION
   SELECT r.site, b.site FROM reach r JOIN named a ON a.site = r.other JOIN named b ON b.id = a.id WHERE b.site IS NOT NULL),
-roots AS (SELECT site, min(other) AS root FROM reach GROUP BY 1)
-SELECT id, coalesce(min(root), id) AS grp FROM named LEFT JOIN roots USING (site) GROUP BY id""")
+roots AS (SELECT site, min(other) AS root FROM reach GROUP BY 1),
+grouped AS MATERIALIZED (SELECT id, coalesce(min(root), id) AS grp FROM named LEFT JOIN roots USING (site) GROUP BY id)"""
+
+
+@query(f"WITH RECURSIVE {GROUPS_SQL} SELECT * FROM grouped")
 def p2_found(spark, folder):
     """The group of each annotated id."""
     return splits.groups(table(spark, folder, "annotations"))
 
 
-@query()
+def _splits_sql(steps: int = 24) -> str:
+    """Splits for groups of less than ``2 ** steps`` ids, one pair of tables for each power of two."""
+    shares = ", ".join(f"('{s}', {p})" for s, p in splits.SPLITS.items())
+    parts = [
+        f"""classed AS MATERIALIZED (SELECT id, grp, coalesce(max(score) FILTER (score BETWEEN 0 AND 5), -1) AS cls FROM grouped JOIN annotations USING (id) GROUP BY 1, 2),
+counts AS MATERIALIZED (SELECT grp, cls, count(*) AS n FROM classed GROUP BY 1, 2),
+mains AS MATERIALIZED (SELECT grp, arg_max(cls, n * 10 - cls) AS main, max(n) AS own, CAST(floor(log2(sum(n))) AS INTEGER) + 1 AS step FROM counts GROUP BY 1),
+shares(split, share) AS (VALUES {shares}),
+left{steps} AS MATERIALIZED (SELECT split, share, cls, sum(n) * share AS room FROM counts, shares GROUP BY 1, 2, 3)"""
+    ]
+    for k in range(steps - 1, -1, -1):
+        weight = "greatest(room - own, share * 1e-9)"
+        unit = "((CAST('0x' || substr(md5('42:' || split || ':' || grp), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+        parts.append(f"""drawn{k} AS MATERIALIZED (SELECT grp, arg_max(split, -{weight} / ln({unit})) AS split FROM mains JOIN left{k + 1} ON cls = main WHERE step = {k + 1} GROUP BY grp),
+left{k} AS MATERIALIZED (SELECT l.split, share, l.cls, room - coalesce(n, 0) AS room FROM left{k + 1} l LEFT JOIN (SELECT split, cls, sum(n) AS n FROM drawn{k} JOIN counts USING (grp) GROUP BY 1, 2) t ON t.split = l.split AND t.cls = l.cls)""")
+    return ",\n".join(parts) + ", drawn AS (" + " UNION ALL ".join(f"SELECT * FROM drawn{k}" for k in range(steps)) + ")"
+
+
+@query(f"WITH RECURSIVE {GROUPS_SQL}, {_splits_sql()} SELECT id, grp, split FROM grouped JOIN drawn USING (grp)")
 def p2_split(spark, folder):
     """One split per annotated id, groups kept together."""
     return splits.split_records(table(spark, folder, "annotations"))

@@ -8,6 +8,7 @@ every member, until nothing changes. Components are then assigned by weighted re
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from lexcurate.functions.urls import site
 from lexcurate.plans.lineage import checkpointed, tabled
 
 SPLITS = {"train": 0.70, "validation": 0.15, "test": 0.15}
-HEAVY_PARTS, MAX_ROUNDS, CLASSES = 1000, 100, (0, 1, 2, 3, 4, 5, -1)
+MAX_ROUNDS, CLASSES = 100, (0, 1, 2, 3, 4, 5, -1)
 
 
 def hash_to_min(edges: DataFrame) -> DataFrame:
@@ -62,43 +63,47 @@ def score_class(score: Column) -> Column:
     return F.when(score.between(0, 5), F.floor(score).cast("int")).otherwise(-1)
 
 
+def drawn_unit(grp: Column, split: str, seed: str) -> Column:
+    """A number between 0 and 1 that the md5 of seed, split and group fixes."""
+    digits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:{split}:"), grp)), 1, 13), 16, 10)
+    return (digits.cast("double") + 0.5) / float(1 << 52)
+
+
 def assign_splits(members: DataFrame, proportions: Mapping[str, float] = SPLITS, seed: str = "42") -> DataFrame:
     """``id, grp, split`` for ``members(id, grp, score)``, one row per id; a ``grp`` lies in one split as a whole.
 
-    A component with more than a ``HEAVY_PARTS``-th of the ids (so at most that many components) is placed where it
-    leaves the smallest squared distance to the proportions over all score classes; the others go by weighted
-    rendezvous hashing, with what is left of their main score class's quota as weights. Invalid scores are a
-    class of their own. No rows give no rows; a component larger than a split's quota goes into the largest one.
+    Every component is drawn by weighted rendezvous hashing. Its weight in a split is what is left there of the quota of the component's
+    main score class, less the component's own records of that class (at least next to nothing). Left is what components of a higher power of
+    two of records have not taken, so smaller ones even out what larger ones drew; there are as many steps as powers of two, and each
+    brings a number per split and class to the driver. Invalid scores are a class of their own. No rows give no rows.
     """
     classed = members.withColumn("cls", score_class(F.col("score")))
     counts = classed.groupBy("grp", "cls").agg(F.count("*").alias("n"))
-    per_group = tabled(
-        counts.groupBy("grp").agg(
-            F.sum("n").alias("n"), *(F.sum(F.when(F.col("cls") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in CLASSES),
-            F.max_by("cls", F.struct("n", -F.col("cls"))).alias("main"),
-        )
-    )
-    names = list(proportions)
-    totals = per_group.agg(*(F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(str(c)) for c in CLASSES)).first().asDict()
-    left = {s: {c: totals[str(c)] * proportions[s] for c in CLASSES} for s in names}
-    everything = sum(totals.values())
-    heavy = per_group.filter(F.col("n") * HEAVY_PARTS > everything).collect()
-    placed = {}
-    for row in sorted(heavy, key=lambda r: (-r["n"], r["grp"])):
-        best = min(names, key=lambda s: sum(row[f"n{c}"] ** 2 - 2 * row[f"n{c}"] * left[s][c] for c in CLASSES))
-        placed[row["grp"]] = best
-        for c in CLASSES:
-            left[best][c] -= row[f"n{c}"]
-    spark = members.sparkSession
-    fixed = spark.createDataFrame(list(placed.items()), "__grp string, fixed string")
-
-    def draw(split: str) -> Column:
-        weights = F.create_map(*(F.lit(x) for c in CLASSES for x in (c, max(left[split][c], 1e-9))))
-        unit = (F.pmod(F.xxhash64("grp", F.lit(split), F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-        return -weights[F.col("main")] / F.log(unit)
-
-    light = per_group.select("grp", F.array_max(F.array(*(F.struct(draw(s).alias("draw"), F.lit(s).alias("name")) for s in names)))["name"].alias("drawn"))
-    splits = light.join(fixed, F.col("grp") == F.col("__grp"), "left").select(F.col("grp").alias("__of"), F.coalesce("fixed", "drawn").alias("split"))
+    per_group = counts.groupBy("grp").agg(
+        F.sum("n").alias("n"), *(F.sum(F.when(F.col("cls") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in CLASSES),
+        F.max_by("cls", F.struct("n", -F.col("cls"))).alias("main"), F.max("n").alias("own"),
+    )
+    per_group = tabled(per_group.withColumn("step", F.length(F.bin("n"))))
+    sums = [F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(str(c)) for c in CLASSES]
+    totals = per_group.agg(*sums).first().asDict()
+    left = {s: {c: totals[str(c)] * share for c in CLASSES} for s, share in proportions.items()}
+    steps = sorted((r["step"] for r in per_group.select("step").distinct().collect()), reverse=True)  # at most 63
+    parts = []
+    for step in steps:
+
+        def draw(split: str) -> Column:
+            room = F.create_map(*(F.lit(x) for c in CLASSES for x in (c, left[split][c])))
+            weight = F.greatest(room[F.col("main")] - F.col("own"), F.lit(proportions[split] * 1e-9))
+            return -weight / F.log(drawn_unit(F.col("grp"), split, seed))
+
+        best = F.array_max(F.array(*(F.struct(draw(s).alias("draw"), F.lit(s).alias("name")) for s in proportions)))["name"]
+        drawn = per_group.filter(F.col("step") == step).withColumn("split", best)
+        parts.append(drawn.select(F.col("grp").alias("__of"), "split"))
+        if step != steps[-1]:
+            for row in drawn.groupBy("split").agg(*sums).collect():
+                for c in CLASSES:
+                    left[row["split"]][c] -= row[str(c)]
+    splits = reduce(DataFrame.unionByName, parts) if parts else per_group.select(F.col("grp").alias("__of"), F.lit("").alias("split"))
     return members.join(splits, F.col("grp") == F.col("__of")).select("id", "grp", "split")
 
 
