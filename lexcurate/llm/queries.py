@@ -162,7 +162,22 @@ def p9_found(spark, folder):
     return leaks.leaked_items(texts(spark, folder), table(spark, folder, "eval_items"))
 
 
-@query()
+TEMPLATES_SQL = rf"""iw AS (SELECT item_id, regexp_extract_all(text, '[\p{{L}}\p{{N}}]+') AS ws FROM (SELECT DISTINCT item_id, text FROM eval_items WHERE item_id IS NOT NULL AND text IS NOT NULL)),
+dw AS (SELECT doc_id, regexp_extract_all(text, '[\p{{L}}\p{{N}}]+') AS ws FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+seen AS (SELECT DISTINCT lower(w) AS low, w[1] <> lower(w[1]) AS capital FROM (SELECT unnest(ws) AS w FROM iw)),
+known AS (SELECT low, bool_and(capital) AS is_name FROM seen GROUP BY 1),
+spelled AS (SELECT w, lower(w) AS low, CASE WHEN regexp_matches(lower(w), '[\p{{Nd}}²³¹]') THEN '#' WHEN lower(w) IN ({", ".join(f"'{u}'" for u in sorted(leaks.UNITS))}) THEN 'U' WHEN k.low IS NOT NULL AND NOT is_name THEN '.'
+ WHEN is_name OR w[1] <> lower(w[1]) THEN 'N' ELSE '.' END AS kind FROM (SELECT unnest(ws) AS w FROM iw UNION SELECT unnest(ws) FROM dw) LEFT JOIN known k ON k.low = lower(w)),
+it AS (SELECT item_id, ws, list(low ORDER BY i) AS low, list(kind ORDER BY i) AS kind FROM (SELECT item_id, ws, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM iw) JOIN spelled USING (w) GROUP BY 1, 2),
+dt AS (SELECT doc_id, list(low ORDER BY i) AS low, list(kind ORDER BY i) AS kind FROM (SELECT doc_id, ws, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM dw) JOIN spelled USING (w) GROUP BY 1, ws),
+sl AS (SELECT *, list_transform(list_zip(low, kind), lambda x: CASE WHEN x[2] = '.' THEN x[1] ELSE x[2] END) AS sym FROM it),
+iv AS (SELECT DISTINCT item_id, array_to_string(sym[i:i+19], ' ') AS t, low[i:i+19] AS low, kind[i:i+19] AS kind FROM (SELECT *, unnest(range(1, len(low) - 18)) AS i FROM sl)),
+dv AS (SELECT doc_id, i, array_to_string(sym[i:i+19], ' ') AS t, low[i:i+19] AS low FROM (SELECT *, unnest(range(1, len(low) - 18)) AS i FROM (SELECT *, list_transform(list_zip(low, kind), lambda x: CASE WHEN x[2] = '.' THEN x[1] ELSE x[2] END) AS sym FROM dt))),
+slots AS (SELECT doc_id, i, item_id, list_filter(list_zip(kind, dv.low, iv.low), lambda x: x[1] <> '.') AS s FROM dv JOIN iv USING (t) WHERE dv.low <> iv.low)"""
+
+
+@query(f"""WITH {TEMPLATES_SQL} SELECT doc_id, item_id, count(DISTINCT i) AS windows FROM slots WHERE len(s) <= 10 AND len(list_distinct(list_transform(s, lambda x: [x[1], x[2]]))) = len(list_distinct(s))
+AND len(list_distinct(list_transform(s, lambda x: [x[1], x[3]]))) = len(list_distinct(s)) GROUP BY 1, 2""")
 def p9_reparameterised(spark, folder):
     """Documents and the items of which they have passages with other numbers, names or units."""
     return leaks.reparameterised_items(texts(spark, folder), table(spark, folder, "eval_items"))

@@ -309,12 +309,29 @@ def test_leaks_like_brute_force(spark):
     assert len(want) > 5
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(1))
     asked = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(50, None), (51, "")], "item_id long, text string")
-    for options in ({}, {"block_chars": 500}):
-        got = leaks.leaked_items(df, asked, **options).collect()
-        assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+    got = leaks.leaked_items(df, asked).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
     assert leaks.leaked_items(df.limit(0), asked).count() == 0 and leaks.leaked_items(df, asked.limit(0)).count() == 0
 
 
+def test_bit_tables():
+    rng = np.random.default_rng(2)
+    hashes = rng.integers(0, 1 << 63, 50_000).astype("uint64") * np.uint64(2)
+    table = leaks.Bits(leaks.Bits.fitting(len(hashes)))
+    table.add(hashes)
+    assert len(table.has(hashes)) == len(hashes) and len(table.has(hashes + np.uint64(1))) < 50
+    assert leaks.Bits.fitting(0) == leaks.LEAST_BITS and leaks.Bits.fitting(1 << 40) == leaks.MOST_BITS
+
+
+def test_full_bit_tables_change_nothing(spark, monkeypatch):
+    rng = random.Random(8)
+    docs = [(k, " ".join(f"w{rng.randrange(300)}x" for _ in range(60))) for k in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    asked = spark.createDataFrame([(k, t) for k, t in docs[:50]] + [(100 + k, " ".join(f"v{rng.randrange(300)}y" for _ in range(60))) for k in range(50)], "item_id long, text string")
+    monkeypatch.setattr(leaks.Bits, "fitting", staticmethod(lambda entries: leaks.PIECE * 8))
+    assert {(r[0], r[1]) for r in leaks.leaked_items(df, asked).collect()} == {(k, k) for k in range(50)}
+
+
 def test_other_parameters(spark):
     item = "If Pike pays 12 pounds to the owner of the mill before the end of March then Pike may keep the mill for 12 years without any further rent"
     good = "Asked: " + item.replace("Pike", "Marlow").replace("12", "15") + " or not"
