@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexcurate.functions import text as T
 from lexcurate.functions.lexicons import SCORE_NAMES
 from lexcurate.functions.urls import netloc
-from lexcurate.operators.ranking import ranked
+from lexcurate.plans.lineage import tabled
 
 SCORES, DRIFT_PERCENT = range(6), 80.0
 
@@ -54,20 +54,23 @@ def _numbers(df: DataFrame, column: str) -> DataFrame:
 
 
 def percentiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
-    """``p, value``: exact, with linear interpolation. Ranks are found across tasks, so no task holds all values; no
-    values give no rows."""
-    values = _numbers(df, column)
-    n = values.count()
+    """``p, value``: exact, with linear interpolation; no values give no rows. Equal values are counted first, so a common one is one row;
+    counts are then summed up over ranges of values, so no task holds all of them."""
+    spark = df.sparkSession
+    counts = _numbers(df, column).groupBy("v").agg(F.count("*").alias("n"))
+    stored = tabled(counts.repartitionByRange("v").withColumn("__part", F.spark_partition_id()))
+    sums = stored.groupBy("__part").agg(F.sum("n").alias("part_n"))  # a row for each range
+    n = sums.agg(F.sum("part_n")).first()[0]
     if not n:
-        return df.sparkSession.createDataFrame([], "p double, value double")
-    placed = ranked(values, [], [F.col("v")], "r")
-    wanted = []
-    for p in probabilities:
-        low = int(p * (n - 1))
-        wanted += [(float(p), p * (n - 1) - low, r) for r in {low + 1, min(n, low + 2)}]
-    at = df.sparkSession.createDataFrame(wanted, "p double, part double, r long")
-    ends = placed.join(at, "r").groupBy("p", "part").agg(F.min("v").alias("a"), F.max("v").alias("b"))
-    return ends.select("p", (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("value"))
+        return spark.createDataFrame([], "p double, value double")
+    before = Window.partitionBy().orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sums.select(F.col("__part").alias("__of"), F.coalesce(F.sum("part_n").over(before), F.lit(0)).alias("__before"))
+    running = stored.join(F.broadcast(shifts), F.col("__part") == F.col("__of"))
+    upto = running.select("v", (F.sum("n").over(Window.partitionBy("__part").orderBy("v")) + F.col("__before")).alias("upto"))
+    ranks = {p: (int(p * (n - 1)) + 1, min(n, int(p * (n - 1)) + 2)) for p in probabilities}
+    found = upto.agg(*(F.min(F.when(F.col("upto") >= r, F.col("v"))).alias(str(r)) for r in sorted({r for pair in ranks.values() for r in pair})))
+    rows = [F.struct(F.lit(float(p)).alias("p"), (F.col(str(a)) + (F.col(str(b)) - F.col(str(a))) * F.lit(p * (n - 1) - (a - 1))).alias("value")) for p, (a, b) in ranks.items()]
+    return found.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
@@ -138,7 +141,3 @@ def running_state(batches: DataFrame, sums: Sequence[str], batch: str = "batch")
     w = Window.partitionBy().orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
     return batches.select(batch, *(F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"total_{c}") for c in sums))
 
-
-def throughput(rows: int, seconds: float) -> float:
-    """Rows a second, 0 for no time."""
-    return rows / seconds if seconds > 0 else 0.0

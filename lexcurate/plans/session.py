@@ -22,7 +22,7 @@ def session(app: str = "lexcurate", master: str | None = None, **conf: str) -> S
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
     } | conf
     for key, value in settings.items():

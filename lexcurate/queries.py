@@ -73,7 +73,7 @@ REASON_SQL = f"""CASE WHEN coalesce(length(text), 0) < 500 THEN 'too_short' WHEN
 STRIP_SQL = f"regexp_replace(regexp_replace(text, '^{L.SPACE_SQL}+', ''), '{L.SPACE_SQL}+$', '')"
 HASH_SQL = f"md5(lower({STRIP_SQL}))"
 WORDS_SQL = f"len(list_filter(regexp_split_to_array(text, '{L.SPACE_SQL}+'), lambda w: w <> ''))"
-REGISTRY_SQL = f"SELECT DISTINCT {HASH_SQL} AS text_hash FROM documents WHERE doc_id % 3 = 0 AND text IS NOT NULL"
+REGISTRY_SQL = f"SELECT DISTINCT {HASH_SQL} AS text_hash FROM (SELECT text FROM scored UNION ALL SELECT text FROM annotations) WHERE text IS NOT NULL"
 
 
 # ---------------------------------------------------------------- filter
@@ -238,8 +238,10 @@ def q_formats(spark, folder):
 # ---------------------------------------------------------------- duplicates
 
 
-def _registry(docs: DataFrame) -> DataFrame:
-    return dedup.updated_registry(docs.sparkSession.createDataFrame([], "text_hash string"), docs.filter("doc_id % 3 = 0"), T.text_hash(F.col("text")))
+def _registry(spark, folder) -> DataFrame:
+    """The texts of the annotated and scored records."""
+    empty = spark.createDataFrame([], "text_hash string")
+    return dedup.updated_registry(empty, table(spark, folder, "scored").select("text").union(table(spark, folder, "annotations").select("text")), T.text_hash(F.col("text")))
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY {HASH_SQL} ORDER BY doc_id) AS k FROM documents) WHERE k = 1")
@@ -260,22 +262,20 @@ def q_dup_groups(spark, folder):
     return dedup.duplicate_groups(texts(spark, folder), T.text_hash(F.col("text")))
 
 
-@query(f"SELECT doc_id FROM documents WHERE doc_id % 3 <> 0 AND (text IS NULL OR {HASH_SQL} NOT IN ({REGISTRY_SQL}))")
+@query(f"SELECT doc_id FROM documents WHERE text IS NULL OR {HASH_SQL} NOT IN ({REGISTRY_SQL})")
 def q_registry_anti(spark, folder):
-    docs = texts(spark, folder)
-    return dedup.not_registered(docs.filter("doc_id % 3 <> 0"), T.text_hash(F.col("text")), _registry(docs)).select("doc_id")
+    """Documents that are no annotated or scored record."""
+    return dedup.not_registered(texts(spark, folder), T.text_hash(F.col("text")), _registry(spark, folder)).select("doc_id")
 
 
-@query(f"SELECT count(*) AS known FROM documents WHERE doc_id % 3 <> 0 AND {HASH_SQL} IN ({REGISTRY_SQL})")
+@query(f"SELECT count(*) AS known FROM documents WHERE {HASH_SQL} IN ({REGISTRY_SQL})")
 def q_registry_semi(spark, folder):
-    docs = texts(spark, folder)
-    return dedup.registered(docs.filter("doc_id % 3 <> 0"), T.text_hash(F.col("text")), _registry(docs)).agg(F.count("*").alias("known"))
+    return dedup.registered(texts(spark, folder), T.text_hash(F.col("text")), _registry(spark, folder)).agg(F.count("*").alias("known"))
 
 
-@query(f"SELECT DISTINCT {HASH_SQL} AS text_hash FROM documents WHERE text IS NOT NULL")
+@query(f"SELECT DISTINCT {HASH_SQL} AS text_hash FROM (SELECT text FROM documents UNION ALL SELECT text FROM scored UNION ALL SELECT text FROM annotations) WHERE text IS NOT NULL")
 def q_registry_update(spark, folder):
-    docs = texts(spark, folder)
-    return dedup.updated_registry(_registry(docs), docs, T.text_hash(F.col("text")))
+    return dedup.updated_registry(_registry(spark, folder), texts(spark, folder), T.text_hash(F.col("text")))
 
 
 # ---------------------------------------------------------------- scores
@@ -344,9 +344,10 @@ def q_tier_stats(spark, folder):
     return tiers.tier_statistics(_tier_split(spark, folder)).withColumn("mean", F.round("mean", 6))
 
 
-@query("SELECT id, score, CASE WHEN score >= 4.5 AND CAST(score AS VARCHAR) <> 'nan' THEN 'excellent' WHEN score >= 3 AND score < 3.5 THEN 'borderline' END AS band FROM scored")
+@query("SELECT id, CASE WHEN CAST(score AS VARCHAR) <> 'nan' THEN score END AS score, CASE WHEN score >= 4.5 AND CAST(score AS VARCHAR) <> 'nan' THEN 'excellent' WHEN score >= 3 AND score < 3.5 THEN 'borderline' END AS band FROM scored")
 def q_bands(spark, folder):
-    return tiers.bands(table(spark, folder, "scored").select("id", "score"))
+    """A NaN score has no band and is shown as null."""
+    return tiers.bands(table(spark, folder, "scored").select("id", "score")).withColumn("score", F.nanvl("score", F.lit(None)))
 
 
 @query("SELECT id, CASE WHEN score >= 3 THEN 'LEGAL' ELSE 'NON-LEGAL' END AS label, CAST(round(CAST(CAST(score AS VARCHAR) AS DECIMAL(18, 9)), 3) AS DOUBLE) AS shown FROM predictions WHERE score IS NOT NULL")
@@ -631,11 +632,11 @@ def q_next_batch(spark, folder):
     return sources.next_batch(names)
 
 
-@query("SELECT DISTINCT 'part_' || id AS name FROM predictions WHERE id % 3 <> 0")
+@query("SELECT 'part_' || doc_id AS name FROM documents WHERE doc_id NOT IN (SELECT id FROM predictions WHERE id IS NOT NULL)")
 def q_pending(spark, folder):
-    ids = table(spark, folder, "predictions").select("id").distinct()
-    done = ids.filter("id % 3 = 0").select(F.concat(F.lit("scored_part_"), "id").alias("name"))
-    return sources.pending(ids.select(F.concat(F.lit("part_"), "id").alias("name")), done)
+    """A part for each document, scored where there is a prediction."""
+    done = table(spark, folder, "predictions").select(F.concat(F.lit("scored_part_"), "id").alias("name"))
+    return sources.pending(table(spark, folder, "documents").select(F.concat(F.lit("part_"), "doc_id").alias("name")), done)
 
 
 @query("SELECT id, to_json({'id': id, 'label': label}) AS js, label AS again FROM predictions WHERE label IS NOT NULL")
@@ -706,7 +707,7 @@ def q_classifier(spark, folder):
     """The classifier trained on the train split and its predictions for the others."""
     rows = table(spark, folder, "annotations").select("id", "text", "score").join(table(spark, folder, "split_members"), "id")
     rows = tabled(rows.filter("text is not null"))
-    model = learning.train(rows.filter("split = 'train'"), features=1 << 12, iterations=10)
+    model = learning.train(rows.filter("split = 'train'"))
     return learning.predict(model, rows.filter("split <> 'train'").select("id", "text", "score")).select("id", "score", "pred", F.round("predicted_score", 4).alias("predicted_score"))
 
 

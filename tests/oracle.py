@@ -10,7 +10,8 @@ import duckdb
 
 def plain(x):
     if isinstance(x, float):
-        return "NaN" if x != x else x + 0.0
+        assert x == x, "NaN never equals NaN where results are compared"
+        return x + 0.0
     if isinstance(x, decimal.Decimal):
         return float(x)
     if isinstance(x, list | tuple):
