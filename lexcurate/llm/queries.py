@@ -92,15 +92,13 @@ placed AS (SELECT id, site, score, row_number() OVER (PARTITION BY site ORDER BY
 @query(f"WITH {CAP_SQL} SELECT id FROM placed, cap WHERE rank > cap")
 def p7_found(spark, folder):
     """Ids beyond the cap of their site."""
-    scored = table(spark, folder, "scored")
-    return capping.over_cap(capping.in_batches(scored, capping.share_cap(scored))).select("id").distinct()
+    return capping.over_cap(capping.in_batches(table(spark, folder, "scored"))).select("id").distinct()
 
 
 @query(f"WITH {CAP_SQL} SELECT site, id, score, CAST(rank AS BIGINT) AS rank FROM placed, cap WHERE rank <= cap")
 def p7_kept(spark, folder):
     """Ids left when every site is held to the cap, with their ranks."""
-    scored = table(spark, folder, "scored")
-    return capping.in_batches(scored, capping.share_cap(scored)).kept.select("site", "id", "score", "rank")
+    return capping.in_batches(table(spark, folder, "scored")).kept.select("site", "id", "score", "rank")
 
 
 GROUPS_SQL = f"""named AS (SELECT DISTINCT id, {site_sql("url")} AS site FROM annotations WHERE id IS NOT NULL),
