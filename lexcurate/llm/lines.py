@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexcurate.functions.urls import site
+from lexcurate.plans.lineage import tabled
 
 MIN_PIECES, MIN_DOCUMENTS = 4, 5
 
@@ -37,9 +38,10 @@ def repeated_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_shar
 
     Null texts and documents without a doc_id or a site have no lines; empty texts have one line that is too short. A
     doc_id that occurs in several rows counts once; ``text_key`` tells rows with different texts apart, equal rows
-    give one line each once. Columns other than ``doc_id, text, url`` are ignored.
+    give one line each once. Columns other than ``doc_id, text, url`` are ignored. The texts are read once: hashes of their lines are
+    written, counted and joined from there.
     """
-    lines = _occurrences(docs, min_pieces)
+    lines = tabled(_occurrences(docs, min_pieces))
     counted = lines.groupBy("h1", "h2").agg(F.countDistinct("doc_id").alias("n"), *([F.first("site").alias("site")] if min_share > 0 else []))
     frequent = counted.filter(F.col("n") >= min_documents)
     if min_share > 0:

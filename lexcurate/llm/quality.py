@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexcurate.llm.lines import with_removed
+from lexcurate.llm.lines import removed_by_document
 from lexcurate.plans.lineage import tabled
 
 STATES = ("prose", "list", "table", "junk")
@@ -31,7 +31,7 @@ COMMON = {
     "pt": "o a os as de do da dos das e em no na nos nas que um uma por com se não para ao à como mais foi ou mas seu sua pelo pela até sem quando também é era entre depois são num numa esta este",
 }
 WORDS = frozenset(w for words in COMMON.values() for w in words.split())
-MIN_CHARS, MIN_SHARE, FIT_ROUNDS, PRIOR_LINES = 60, 0.5, 2, 4000
+MIN_CHARS, MIN_SHARE, FIT_ROUNDS, PRIOR_LINES, STAY = 60, 0.5, 2, 4000, 0.9
 MARKED = re.compile(r"\s*(?:[-*•·–—>+]|\(?\[?[0-9]{1,4}[.)\]]|\(?[a-zA-Z][.)]|https?://)\s*\S")
 LAST_ENDED = frozenset(".!?…:")
 DELIMITERS = re.compile(r"[|;\t/,=:]|\.{4,}|  +")
@@ -43,12 +43,13 @@ SIZES = (2, 2, 3, 3, 3)
 
 @dataclass(frozen=True)
 class Model:
-    """``common``: chance that a word is a common one; ``tables``: chances of each feature's values; ``stay``: of keeping the state."""
+    """``common``: chance that a word is a common one; ``tables``: chances of each feature's values; ``start``: of a text's first state;
+    ``moves``: of each state after each."""
 
     common: np.ndarray
     tables: tuple[np.ndarray, ...]
     start: np.ndarray
-    stay: float = 0.9
+    moves: np.ndarray
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """Log chances, lines by states. Empty lines say nothing."""
@@ -72,6 +73,7 @@ def initial() -> Model:
             np.array([[0.65, 0.3, 0.05], [0.4, 0.4, 0.2], [0.35, 0.4, 0.25], [0.5, 0.15, 0.35]]),
         ),
         np.array([0.7, 0.1, 0.1, 0.1]),
+        np.full((4, 4), (1 - STAY) / 3) + np.eye(4) * (STAY - (1 - STAY) / 3),
     )
 
 
@@ -96,8 +98,7 @@ def decode(x: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
         return np.zeros(0, "int64")
     scores = model.emissions(x)
     begin = np.cumsum(lengths) - lengths
-    move = np.full((4, 4), np.log((1 - model.stay) / 3))
-    np.fill_diagonal(move, np.log(model.stay))
+    move = np.log(model.moves).T  # to each state from each
     came = np.zeros((len(x), 4), "int8")
     order = np.argsort(-lengths, kind="stable")
     order = order[lengths[order] > 0]
@@ -127,24 +128,36 @@ def _lines(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows, "int64").reshape(-1, 8), np.array(lengths, "int64")
 
 
+#: sums that a round of fitting needs: words, common words and lines, values of the features, moves and first states, by state
+WIDTH = 3 + sum(SIZES) + 4 + 1
+
+
 def _counts(x: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
-    """States by what was seen in their lines: words, common words, lines, and each value of the features."""
+    """States by what was seen in their lines: words, common words, lines, each value of the features, the states that came next, first states."""
     states, filled = decode(x, lengths, model), x[:, 7] > 0
-    out = np.zeros((4, 3 + sum(SIZES)), "int64")
+    out = np.zeros((4, WIDTH), "int64")
+    begin = (np.cumsum(lengths) - lengths)[lengths > 0]
+    later = np.ones(len(x), bool)
+    later[begin] = False
+    later = np.flatnonzero(later)
+    moved = np.bincount(states[later - 1] * 4 + states[later], minlength=16).reshape(4, 4)
+    first = np.bincount(states[begin], minlength=4)
     for s in range(4):
         mine = x[filled & (states == s)]
         values = [np.bincount(mine[:, 2 + k], minlength=size) for k, size in enumerate(SIZES)]
-        out[s] = [mine[:, 0].sum(), mine[:, 1].sum(), len(mine), *np.concatenate(values)]
+        out[s] = [mine[:, 0].sum(), mine[:, 1].sum(), len(mine), *np.concatenate(values), *moved[s], first[s]]
     return out
 
 
 def _updated(first: Model, counts: np.ndarray, prior_lines: int) -> Model:
-    """The model of the counts; ``first`` counts like ``prior_lines`` lines of each state."""
+    """The model of the counts; ``first`` counts like ``prior_lines`` lines of each state, and like a tenth of them in texts."""
     words = 10 * prior_lines
     common = (counts[:, 1] + first.common * words) / (counts[:, 0] + words)
     ends = 3 + np.cumsum(SIZES)
     tables = [(counts[:, e - size : e] + t * prior_lines) / (counts[:, 2:3] + prior_lines) for t, size, e in zip(first.tables, SIZES, ends)]
-    return Model(common, tuple(tables), first.start)
+    moves = counts[:, -5:-1] + first.moves * prior_lines
+    start = counts[:, -1] + first.start * prior_lines / 10
+    return Model(common, tuple(tables), start / start.sum(), moves / moves.sum(axis=1, keepdims=True))
 
 
 def fit(texts: list[str | None], rounds: int = FIT_ROUNDS, prior_lines: int = PRIOR_LINES) -> Model:
@@ -157,33 +170,49 @@ def fit(texts: list[str | None], rounds: int = FIT_ROUNDS, prior_lines: int = PR
     return model
 
 
-def fit_on(docs: DataFrame, documents: int | None = None, rounds: int = FIT_ROUNDS, prior_lines: int = PRIOR_LINES) -> Model:
-    """:func:`fit` on the texts of all rows with a ``doc_id``, or, if ``documents`` is given, on about so many, those with
-    the smallest hashes of their ids. The features of the lines are kept in a table; each round brings 64 sums to the driver."""
-    rows = docs.filter("doc_id is not null and text is not null")
-    if documents is not None and (n := rows.count()) > documents:
-        rows = rows.filter(F.xxhash64("doc_id") < -(2**63) + int(2**64 * documents / n))
+FEATURES = "doc_id string, text_key long, chars long, solid long, signs long, lines long, numbers binary, kinds binary"
+
+
+def line_table(docs: DataFrame) -> DataFrame:
+    """What the model and the statistics need of each text of ``docs(doc_id, text)``, in a table: sums of the text, and of each line three numbers
+    (words, common words, characters) and five kinds. Texts are read for it once and needed no more."""
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x, lengths = _lines(batch["text"])
-            yield pd.DataFrame({"x": [x.astype("int32").tobytes()], "lengths": [lengths.astype("int32").tobytes()]})
+            texts = [t or "" for t in batch["text"]]
+            x, lengths = _lines(texts)
+            ends = np.cumsum(lengths)
+            numbers, kinds = x[:, [0, 1, 7]].astype("int32"), x[:, 2:7].astype("int8")
+            part = lambda a: [a[e - n : e].tobytes() for e, n in zip(ends, lengths)]
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"], "text_key": batch["text_key"], "chars": [len(t) for t in texts], "solid": [sum(map(len, t.split())) for t in texts],
+                "signs": [len(SIGNS.findall(t)) for t in texts], "lines": lengths, "numbers": part(numbers), "kinds": part(kinds),
+            })
+
+    return tabled(docs.select(F.col("doc_id").cast("string"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_key"), "text").mapInPandas(features, FEATURES))
 
-    seen = tabled(rows.select("text").mapInPandas(features, "x binary, lengths binary"))
+
+def _unpacked(numbers: Iterable[bytes], kinds: Iterable[bytes]) -> np.ndarray:
+    n = np.frombuffer(b"".join(numbers), "int32").reshape(-1, 3)
+    k = np.frombuffer(b"".join(kinds), "int8").reshape(-1, 5)
+    return np.column_stack([n[:, 0], n[:, 1], k, n[:, 2]]).astype("int64").reshape(-1, 8)
+
+
+def fit_on(table: DataFrame, rounds: int = FIT_ROUNDS, prior_lines: int = PRIOR_LINES) -> Model:
+    """:func:`fit` on all rows of :func:`line_table` with a ``doc_id``; each round brings 88 sums to the driver."""
+    seen = table.filter("doc_id is not null and lines > 0").select("lines", "numbers", "kinds")
     first = model = initial()
     for _ in range(rounds):
 
         def count(batches: Iterator[pd.DataFrame], model: Model = model) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                total = np.zeros((4, 3 + sum(SIZES)), "int64")
-                for x, lengths in zip(batch["x"], batch["lengths"]):
-                    total += _counts(np.frombuffer(x, "int32").reshape(-1, 8).astype("int64"), np.frombuffer(lengths, "int32").astype("int64"), model)
+                total = _counts(_unpacked(batch["numbers"], batch["kinds"]), batch["lines"].to_numpy(), model)
                 yield pd.DataFrame({"place": np.arange(total.size), "n": total.ravel()})
 
         sums = {r["place"]: r["n"] for r in seen.mapInPandas(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
         if not sums:
             break
-        model = _updated(first, np.array([sums[k] for k in range(4 * (3 + sum(SIZES)))], "int64").reshape(4, -1), prior_lines)
+        model = _updated(first, np.array([sums[k] for k in range(4 * WIDTH)], "int64").reshape(4, -1), prior_lines)
     return model
 
 
@@ -193,29 +222,27 @@ SCHEMA = (
 )
 
 
-def _statistics(texts: list[str | None], removed: list, model: Model) -> pd.DataFrame:
-    x, lengths = _lines(texts)
+def _statistics(rows: pd.DataFrame, model: Model) -> pd.DataFrame:
+    """Rows of :data:`SCHEMA` for rows of :func:`line_table` with ``removed``, the numbers of lines that don't count."""
+    x, lengths = _unpacked(rows["numbers"], rows["kinds"]), rows["lines"].to_numpy()
     kept = np.ones(len(x), bool)
-    begin = np.cumsum(lengths) - lengths
-    for b, gone in zip(begin, removed):
-        if len(gone):
+    for b, gone in zip(np.cumsum(lengths) - lengths, rows["removed"]):
+        if gone is not None and len(gone):
             kept[b + np.asarray(gone, "int64") - 1] = False
     # removed lines say nothing about their neighbours either
     seen = x * kept[:, None]
     states = decode(seen, lengths, model)
     owner = np.repeat(np.arange(len(lengths)), lengths)
     n = len(lengths)
-    total = lambda values, where=slice(None): np.bincount(owner[where], weights=values[where], minlength=n)
+    total = lambda values: np.bincount(owner, weights=values, minlength=n)
     chars = np.stack([total(seen[:, 7] * (states == s)) for s in range(4)]) if len(x) else np.zeros((4, n))
     counted = chars.sum(axis=0)
     words, filled = total(x[:, 0]), total((x[:, 7] > 0).astype(float))
-    size = np.array([len(t) if t else 0 for t in texts])
-    signs = np.array([len(SIGNS.findall(t)) if t else 0 for t in texts])
-    solid = np.array([sum(map(len, t.split())) if t else 0 for t in texts])
-    share = lambda a, b: np.divide(a, b, out=np.zeros(n), where=b > 0)
+    share = lambda a, b: np.divide(a, b, out=np.zeros(n), where=np.asarray(b) > 0)
+    size = rows["chars"].to_numpy()
     return pd.DataFrame({
-        "chars": size, "lines": lengths, "words": words.astype("int64"), "mean_word_length": share(solid, words), "symbol_ratio": share(signs, size),
-        "ended_lines": share(total(x[:, 3] * 1.0), filled), "common_share": share(total(x[:, 1] * 1.0), words),
+        "doc_id": rows["doc_id"].to_numpy(), "chars": size, "lines": lengths, "words": words.astype("int64"), "mean_word_length": share(rows["solid"].to_numpy(), words),
+        "symbol_ratio": share(rows["signs"].to_numpy(), size), "ended_lines": share(total(x[:, 3] * 1.0), filled), "common_share": share(total(x[:, 1] * 1.0), words),
         **{name: share(chars[k], counted) for k, name in enumerate(STATES)}, "prose_chars": chars[0].astype("int64"), "counted_chars": counted.astype("int64"),
     })
 
@@ -227,18 +254,19 @@ def text_statistics(docs: DataFrame, model: Model | None = None, without_repeate
     ``without_repeated`` lines that the site repeats (see :mod:`lexcurate.llm.lines`) have no label and no part in the
     shares. Null texts count like empty ones. ``model`` is fitted on all of ``docs`` if none is given.
     """
-    model = model or fit_on(docs)
-    base = docs.select("doc_id", "text", "url")
-    rows = with_removed(base) if without_repeated else base.withColumn("removed", F.array().cast("array<bigint>"))
+    table = line_table(docs)
+    model = model or fit_on(table)
+    rows = table.withColumn("removed", F.lit(None).cast("array<bigint>"))
+    if without_repeated:
+        removed = removed_by_document(docs.select("doc_id", "text", "url")).select(F.col("doc_id").cast("string").alias("__id"), F.col("text_key").alias("__key"), "removed")
+        rows = table.join(removed, (F.col("doc_id") == F.col("__id")) & (F.col("text_key") == F.col("__key")), "left").select(*table.columns, "removed")
 
     def stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = _statistics(list(batch["text"]), list(batch["removed"]), model)
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+            yield _statistics(batch, model)
 
     kind = docs.schema["doc_id"].dataType  # as text in Python, where whole numbers with nulls would become fractions
-    return rows.select(F.col("doc_id").cast("string"), "text", "removed").mapInPandas(stats, SCHEMA).withColumn("doc_id", F.col("doc_id").cast(kind))
+    return rows.mapInPandas(stats, SCHEMA).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def not_prose(statistics: DataFrame, min_chars: int = MIN_CHARS, min_share: float = MIN_SHARE) -> DataFrame:
