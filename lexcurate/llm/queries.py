@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexcurate.functions.lexicons import SPACE_SQL
 from lexcurate.functions.urls import site_sql
 from lexcurate.llm import budget, capping, cutoffs, garbled, leaks, lines, overlaps, packing, quality, splits
+from lexcurate.plans.lineage import tabled
 from lexcurate.sources import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +65,14 @@ def p1_cleaned(spark, folder):
     return lines.without_repeated_lines(texts(spark, folder).select("doc_id", "text", "url")).select("doc_id", "text", "removed_lines")
 
 
+@query(f"""WITH {LINES_SQL}, sizes AS (SELECT {site_sql("url")} AS site, count(DISTINCT doc_id) AS n FROM documents GROUP BY 1),
+often AS (SELECT site, form FROM long_lines JOIN sizes USING (site) GROUP BY site, form HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) >= 0.1 * max(n))
+SELECT DISTINCT doc_id, CAST(line_no AS BIGINT) AS line_no FROM long_lines JOIN often USING (site, form)""")
+def p1_shared(spark, folder):
+    """Lines that stand in a tenth of their site's documents and in five at least."""
+    return lines.repeated_lines(texts(spark, folder), min_share=0.1).select("doc_id", "line_no").distinct()
+
+
 BEST_SQL = f"""
 best AS (SELECT id, min({site_sql("url")}) AS site, max(CASE WHEN CAST(score AS VARCHAR) <> 'nan' AND score BETWEEN 0 AND 5 THEN score END) AS score FROM scored WHERE id IS NOT NULL GROUP BY 1)
 """
@@ -144,6 +155,41 @@ def p3_budget(spark, folder):
     return budget.token_budget(texts(spark, folder))
 
 
+LABELS_SQL = f"""coalesce(nullif(trim(regexp_replace(lower(source), '{SPACE_SQL}+', ' ', 'g')), ''), 'unknown') AS source,
+CASE WHEN coalesce(regexp_extract(lower(trim(lang)), '^([a-z]+)', 1), '') IN ('', 'und') THEN 'unknown' ELSE regexp_extract(lower(trim(lang)), '^([a-z]+)', 1) END AS lang, coalesce({site_sql("url")}, 'unknown') AS site"""
+
+
+@query(f"""SELECT source, lang, site, CAST(grouping(source) * 4 + grouping(lang) * 2 + grouping(site) AS INTEGER) AS level, count(*) AS documents
+FROM (SELECT {LABELS_SQL} FROM documents) GROUP BY CUBE (source, lang, site)""")
+def p3_slices(spark, folder):
+    """Documents of each slice of the budget."""
+    return budget.token_budget(texts(spark, folder)).drop("tokens")
+
+
+@query(f"""SELECT level, count(*) AS slices, CAST(sum(documents) AS BIGINT) AS documents, true AS same_tokens FROM (
+SELECT CAST(grouping(source) * 4 + grouping(lang) * 2 + grouping(site) AS INTEGER) AS level, count(*) AS documents FROM (SELECT {LABELS_SQL} FROM documents) GROUP BY CUBE (source, lang, site)) GROUP BY 1""")
+def p3_levels(spark, folder):
+    """Slices and documents of each level of the cube, and whether its tokens are those of the whole."""
+    levels = budget.token_budget(texts(spark, folder)).groupBy("level").agg(F.count("*").alias("slices"), F.sum("documents").alias("documents"), F.sum("tokens").alias("t"))
+    return levels.withColumn("same_tokens", F.col("t") == F.max("t").over(Window.partitionBy())).drop("t")  # eight rows
+
+
+@query("""SELECT 'documents' AS check, count(*) AS found FROM documents UNION ALL SELECT unnest(['overfull containers', 'places taken twice', 'gaps between pieces', 'containers with a gap', 'texts cut without need']), 0""")
+def p8_checks(spark, folder):
+    """What must hold of a packing, counted over all of it."""
+    rows = tabled(packing.packed_texts(texts(spark, folder)))
+    size = F.col("token_to") - F.col("token_from")
+    boxes = rows.filter("container is not null").groupBy("container").agg(F.sum(size).alias("size"), F.count("*").alias("n"), F.countDistinct("position").alias("places"), F.max("position").alias("last"))
+    docs = rows.groupBy("doc_id").agg(F.sum(size).alias("size"), F.max("n_tokens").alias("n"), F.count("*").alias("pieces"), F.max("piece").alias("last"))
+    count = lambda df, name, bad: df.agg(F.count(F.when(bad, 1)).alias("found")).select(F.lit(name).alias("check"), "found")
+    checks = [
+        count(docs, "documents", F.lit(True)), count(boxes, "overfull containers", F.col("size") > packing.CAPACITY), count(boxes, "places taken twice", F.col("places") < F.col("n")),
+        count(docs, "gaps between pieces", (F.col("size") != F.col("n")) | (F.col("last") + 1 != F.col("pieces"))), count(boxes, "containers with a gap", F.col("last") != F.col("n")),
+        count(docs, "texts cut without need", F.col("pieces") > F.greatest(F.lit(1), F.ceil(F.col("n") / packing.CAPACITY))),
+    ]
+    return reduce(DataFrame.unionByName, checks)
+
+
 @query()
 def p8_pack(spark, folder):
     """Container, position and piece of each text."""
@@ -193,13 +239,31 @@ def p10_restored(spark, folder):
     return garbled.restored_documents(texts(spark, folder).select("doc_id", "text")).select("doc_id", "restored", "complete")
 
 
-@query()
+# pairs within the length ratio that have enough words in common whatever their order; then the longest common subsequence, one word of a at a time
+OVERLAP_SQL = r"""texts AS (SELECT id, regexp_extract_all(lower(min(text)), '[\p{L}\p{N}]+') AS ws FROM annotations WHERE id IS NOT NULL AND text IS NOT NULL GROUP BY 1),
+sided AS (SELECT id, ws, len(ws) AS n, split = 'train' AS train, hash(ws) AS k FROM texts JOIN split_members USING (id) WHERE len(ws) >= 20 AND split IS NOT NULL),
+uniq AS MATERIALIZED (SELECT train, k, any_value(ws) AS ws, any_value(n) AS n FROM sided GROUP BY 1, 2),
+bag AS MATERIALIZED (SELECT train, k, n, w, count(*) AS c FROM (SELECT train, k, n, unnest(ws) AS w FROM uniq) GROUP BY 1, 2, 3, 4),
+near AS MATERIALIZED (SELECT a.k AS ka, b.k AS kb, max(a.n) AS na, max(b.n) AS nb FROM bag a JOIN bag b ON a.w = b.w AND a.train AND NOT b.train AND least(a.n, b.n) >= 0.85 * greatest(a.n, b.n)
+ GROUP BY 1, 2 HAVING sum(least(a.c, b.c)) >= 0.85 * max(greatest(a.n, b.n))),
+step(ka, kb, i, row) AS (SELECT ka, kb, 0, list_transform(range(nb + 1), lambda x: 0) FROM near UNION ALL
+ SELECT s.ka, s.kb, s.i + 1, list_prepend(0, list_transform(range(1, len(s.row)), lambda j: greatest(s.row[j + 1], coalesce(list_max(list_transform(list_filter(range(1, j + 1), lambda p: b.ws[p] = a.ws[s.i + 1]), lambda p: s.row[p] + 1)), 0))))
+ FROM step s JOIN uniq a ON a.k = s.ka AND a.train JOIN uniq b ON b.k = s.kb AND NOT b.train WHERE s.i < a.n),
+proved AS (SELECT ka, kb FROM step JOIN near USING (ka, kb) WHERE i = na AND row[nb + 1] >= 0.85 * greatest(na, nb))"""
+
+
+@query(f"WITH RECURSIVE {OVERLAP_SQL} SELECT DISTINCT least(a.id, b.id) AS id_a, greatest(a.id, b.id) AS id_b FROM proved JOIN sided a ON a.k = ka AND a.train JOIN sided b ON b.k = kb AND NOT b.train WHERE a.id <> b.id")
 def p4_found(spark, folder):
     """Pairs of ids across the splits with the same or nearly the same text."""
     return overlaps.overlapping_ids(table(spark, folder, "annotations"), table(spark, folder, "split_members")).select("id_a", "id_b").distinct()
 
 
-@query()
+@query(f"""WITH RECURSIVE {OVERLAP_SQL},
+facts AS (SELECT id, min({site_sql("url")}) AS site, max(score) FILTER (score BETWEEN 0 AND 5) AS score FROM annotations WHERE id IS NOT NULL GROUP BY 1),
+pairs AS (SELECT b.id, count(*) AS p, count(*) FILTER (f.score IS DISTINCT FROM g.score) AS d FROM proved JOIN sided a ON a.k = ka AND a.train JOIN sided b ON b.k = kb AND NOT b.train
+ JOIN facts f ON f.id = a.id JOIN facts g ON g.id = b.id WHERE a.id <> b.id GROUP BY 1)
+SELECT split, site, count(*) AS ids, count(p) AS overlapping, CAST(coalesce(sum(p), 0) AS BIGINT) AS pairs, CAST(coalesce(sum(d), 0) AS BIGINT) AS disagreeing, count(p) / count(*) AS share
+FROM facts JOIN split_members USING (id) LEFT JOIN pairs USING (id) WHERE split IS NOT NULL AND split <> 'train' GROUP BY 1, 2""")
 def p4_report(spark, folder):
     """Overlaps per split and site, with the scores that disagree."""
     return overlaps.overlap_report(table(spark, folder, "annotations"), table(spark, folder, "split_members"))
@@ -211,6 +275,24 @@ def p6_found(spark, folder):
     return quality.not_prose(quality.text_statistics(texts(spark, folder))).select("doc_id").distinct()
 
 
+SIGN_SQL = r"[^_\p{L}\p{N}" + SPACE_SQL[1:]
+QUALITY_SQL = rf"""l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text <> ''),
+w AS (SELECT doc_id, line, list_filter(regexp_split_to_array(lower(line), '{SPACE_SQL[:-1]}''’]+'), lambda w: w <> '') AS ws, regexp_matches(line, '{SPACE_SQL.replace("[", "[^")}') AS filled FROM l),
+s AS (SELECT doc_id, count(*) AS lines, count(*) FILTER (filled) AS filled, count(*) FILTER (regexp_matches(line, '[.!?…:]["”’)»'' ]*{SPACE_SQL}*$')) AS ended, sum(len(ws)) AS words,
+ sum(len(list_filter(ws, lambda w: list_contains([{", ".join(f"'{w}'" for w in sorted(quality.WORDS))}], w)))) AS common FROM w GROUP BY 1)"""
+
+
+@query(rf"""WITH {QUALITY_SQL} SELECT d.doc_id, coalesce(length(text), 0) AS chars, coalesce(lines, 0) AS lines, CAST(coalesce(words, 0) AS BIGINT) AS words,
+round(coalesce(length(regexp_replace(text, '{SPACE_SQL}', '', 'g')) / nullif(words, 0), 0), 6) AS mean_word_length,
+round(coalesce(len(regexp_extract_all(text, '{SIGN_SQL}')) / nullif(length(text), 0), 0), 6) AS symbol_ratio,
+round(coalesce(ended / nullif(filled, 0), 0), 6) AS ended_lines, round(coalesce(common / nullif(words, 0), 0), 6) AS common_share FROM documents d LEFT JOIN s USING (doc_id)""")
+def p6_text(spark, folder):
+    """The statistics of every document that don't depend on the model."""
+    rows = quality.text_statistics(texts(spark, folder), quality.initial(), without_repeated=False)
+    shares = ("mean_word_length", "symbol_ratio", "ended_lines", "common_share")
+    return rows.select("doc_id", "chars", "lines", "words", *(F.round(c, 6).alias(c) for c in shares))
+
+
 @query()
 def p6_stats(spark, folder):
     """Text statistics of every document."""
