@@ -19,12 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
 #: fixed values: encodings that UTF-8 is taken for, and single-byte encodings that are taken for one another
-WIDE = ("cp1252", "latin-1", "iso8859-15", "cp1250", "iso8859-2", "cp1251", "mac_roman", "cp437", "cp850", "cp866", "koi8-r")
+WIDE = ("cp1252", "latin-1", "iso8859-15", "cp1250", "iso8859-2", "cp1251", "mac_roman", "cp437", "cp850", "cp866", "koi8-r", "cp1253", "cp1254", "cp1257")
 NARROW = (
     ("cp1252", "cp850"), ("cp1252", "cp437"), ("cp1252", "mac_roman"), ("cp1252", "cp1251"), ("cp1252", "cp1250"), ("cp1252", "koi8-r"),
     ("mac_roman", "cp1252"), ("cp850", "cp1252"), ("cp437", "cp1252"), ("cp850", "latin-1"), ("mac_roman", "latin-1"),
 )
-ROUNDS = 8
 LOST = "�"
 VOWELS = frozenset("aeiouyäöüáéíóúàèìòùâêîôûãõAEIOUYÄÖÜÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÃÕ")
 #: signs that stand between letters or beside them in ordinary text
@@ -42,6 +41,8 @@ TONGUES = {
 FIVE = frozenset("àâäáãçèéêëíîïñóôöõùúûüÿœæßÀÂÄÁÃÇÈÉÊËÍÎÏÑÓÔÖÕÙÚÛÜŸŒÆẞ")
 WRITE = {"ñ": "es", "ã": "pt", "õ": "pt", "à": "fr pt", "â": "fr pt", "ê": "fr pt", "ö": "de", "ü": "de es", "ä": "de"} | dict.fromkeys("èëîïùûÿœæ", "fr")
 TONGUE = {w: tongue for tongue, words in TONGUES.items() for w in words}
+#: fixed values: letters of Central European and Baltic languages and Turkish beyond Latin-1, by which equal readings are told apart
+CENTRAL = frozenset("ąćęłńśźżčďěňřšťůžľĺŕőűășțşţđğıāēģīķļņūėįų")
 LETTERS = re.compile(r"[^\W\d_]+")
 LINE_END, PARAGRAPH_END = re.compile(r"[ \t\r]*(?:\n|\Z)"), re.compile(r"[ \t\r]*(?:\n[^\S\n]*(?:\n|\Z)|\Z)")
 
@@ -54,6 +55,7 @@ def _byte(value: int, encoding: str) -> str:
         return chr(value)
 
 
+@lru_cache(maxsize=1)
 def originals() -> list[str]:
     """Characters of Western European text beyond ASCII, and of text garbled once: Latin-1 with its controls and what cp1252 adds."""
     extra = [_byte(b, "cp1252") for b in range(0x80, 0xA0)]
@@ -67,17 +69,37 @@ def beyond() -> list[str]:
     return [chr(c) for first, last in ranges for c in range(first, last + 1)]
 
 
+@lru_cache(maxsize=1)
+def _western() -> frozenset[str]:
+    return frozenset(originals()) | frozenset(beyond())
+
+
+@lru_cache(maxsize=1)
+def continuations() -> dict[str, dict[str, int]]:
+    """By encoding, the characters that its readers see for the second and later bytes of UTF-8, with the bytes."""
+    return {encoding: {_byte(b, encoding): b for b in range(0x80, 0xC0)} for encoding in WIDE}
+
+
 @lru_cache(maxsize=1)
 def tables():
-    """The automaton; its values are a form, whether it is wide, and its ways: (original, encoding or pair of encodings)."""
+    """The automaton. Its values are a form, its kind and its ways. Kind 0: one character; ways are (original, pair of encodings). Kind 1: what UTF-8 of
+    one character, of Western text or a sign, looks like; ways are (original, encoding). Kind 2: the first two characters of what UTF-8 of any
+    other character looks like; ways are (first two bytes, encoding), and the rest is read with :func:`continuations`."""
     import ahocorasick
 
+    western = sorted(_western())
     wide: dict[str, list[tuple[str, str]]] = {}
+    other: dict[str, list[tuple[bytes, str]]] = {}
     for encoding in WIDE:
-        for c in sorted({*originals(), *beyond()}):
+        for c in western:
             form = "".join(_byte(b, encoding) for b in c.encode("utf-8"))
             if form != c and not form.isascii():
                 wide.setdefault(form, []).append((c, encoding))
+        for lead in range(0xC2, 0xF5):
+            for then in range(0x80, 0xC0):
+                if _byte(lead, encoding).isspace():
+                    continue  # a hard space before a letter is one
+                other.setdefault(_byte(lead, encoding) + _byte(then, encoding), []).append((bytes([lead, then]), encoding))
     narrow: dict[str, list[tuple[str, str]]] = {}
     for source, read in NARROW:
         for c in originals():
@@ -88,14 +110,21 @@ def tables():
             if form != c and not form.isascii() and (c.isalpha() or c in "’“”–—…•§€£©°º\xa0"):
                 narrow.setdefault(form, []).append((c, f"{source}>{read}"))
     automaton = ahocorasick.Automaton()
-    for form, ways in narrow.items():
-        automaton.add_word(form, (form, False, ways))
-    for form, ways in wide.items():
-        automaton.add_word(form, (form, True, ways))
+    for form in {*narrow, *wide, *other}:
+        automaton.add_word(form, (form, narrow.get(form), wide.get(form), other.get(form)))
     automaton.make_automaton()
     return automaton
 
 
+@lru_cache(maxsize=100_000)
+def _writing(c: str) -> str:
+    """The script of a letter, by its name; the signs of Chinese, Japanese and Korean text count as theirs; ``""`` for other characters."""
+    name = (unicodedata.name(c, "") if c else "").replace("-", " ").split(" ")[0]
+    if name in ("CJK", "HIRAGANA", "KATAKANA", "IDEOGRAPHIC", "FULLWIDTH", "BOPOMOFO", "HANGUL"):
+        return "HAN"
+    return name if c.isalpha() else ""
+
+
 def _script(c: str) -> str:
     if not c or not c.isalpha():
         return ""
@@ -246,19 +275,72 @@ def _narrow(text: str, i: int, c: str, seen: str) -> bool:
     return c == "…" and seen in "àÖÉ┘" and _ellipsis(text, i, seen)
 
 
-QUOTED = re.compile(r"(?<!\w)ô(?=\w)[^ôö\n]{2,200}(?<=\w)ö(?!\w)")
+QUOTED = re.compile(r"(?<!\w)ô(?=\w)[^ôö\n]{2,}(?<=\w)ö(?!\w)")
+
+
+def _foreign_spans(text: str, begun: list[tuple[int, bytes, str]]) -> list[tuple[int, int, str]]:
+    """Spans of UTF-8 of other scripts and of Latin letters beyond Latin-1: (start, stop, original). One encoding is taken, that which
+    explains most of the text.
+
+    A letter of another script is proof where a second of the script follows it directly; single ones count in lines with such proof. A Latin letter
+    counts beside a Latin letter or another form.
+    """
+    western = _western()
+    found: dict[str, list[tuple[int, int, str]]] = {}
+    for start, data, encoding in begun:
+        stop, rest = start + 2, continuations()[encoding]
+        for _ in range((data[0] >= 0xE0) + (data[0] >= 0xF0)):
+            byte = rest.get(text[stop : stop + 1])
+            data, stop = data + bytes([byte or 0]), stop + 1
+        try:
+            c = data.decode("utf-8")
+        except UnicodeDecodeError:
+            continue
+        if _writing(c) or c in western:
+            found.setdefault(encoding, []).append((start, stop, c))
+    best: list[tuple[int, int, str]] = []
+    weight = lambda spans: (sum(e - s for s, e, _ in spans), sum(c in western or c.lower() in CENTRAL for _, _, c in spans))
+    for spans in found.values():
+        spans.sort()
+        spans = [s for k, s in enumerate(spans) if not k or s[0] >= spans[k - 1][1]]
+        starts, stops = {s: c for s, _, c in spans}, {e: c for _, e, c in spans}
+        boxed = lambda s, e: all("─" <= c <= "▟" for c in text[s:e])
+        pair = lambda s, e, c: _writing(starts.get(e, "")) == _writing(c) or _writing(stops.get(s, "")) == _writing(c)
+        line = lambda s: text.rfind("\n", 0, s)
+        proven = {(_writing(c), line(s)) for s, e, c in spans if _writing(c) != "LATIN" and not boxed(s, e) and pair(s, e, c)}
+        near = lambda s, e: (_letter(text[s - 1 : s] if s else "") or s in stops, _letter(text[e : e + 1]) or e in starts)
+        inside = any(_writing(c) == "LATIN" and c not in western and all(near(s, e)) for s, e, c in spans)
+        kept = []
+        for s, e, c in spans:
+            left, right = text[s - 1 : s] if s else "", text[e : e + 1]
+            # a stretch of letters of the script that is seen which goes beyond the forms is a word
+            word = any(_script(x) not in ("", "latin") and ((_script(left) == _script(x) and s not in stops) or (_script(right) == _script(x) and e not in starts)) for x in text[s:e])
+            if c in western:
+                kept.append((s, e, c))
+            elif _writing(c) == "LATIN":
+                case = (not left.isupper() or _letter(right) or e in starts) if c.islower() else not (left.isalpha() and left.islower()) and (not left.isupper() or right.isupper())
+                if (any(near(s, e)) if inside or not boxed(s, s + 1) else all(near(s, e))) and case and not word:
+                    kept.append((s, e, c))
+            elif (_writing(c), line(s)) in proven and not word:
+                kept.append((s, e, c))
+        if weight(kept) > weight(best):
+            best = kept
+    return [span for span in best if span[2] not in western]
 
 
 def _spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, str, str]], list[tuple[int, str, str]]]:
     """Wide spans (start, stop, original); strong and possible narrow places (start, original, pair)."""
     longest: dict[int, tuple[int, list]] = {}
     singles: list[tuple[int, str, list]] = []
-    for end, (form, is_wide, ways) in tables().iter(text):
+    begun: list[tuple[int, bytes, str]] = []
+    for end, (form, narrow, wide, other) in tables().iter(text):
         start = end + 1 - len(form)
-        if not is_wide:
-            singles.append((start, form, ways))
-        elif start not in longest or longest[start][0] < end + 1:
-            longest[start] = (end + 1, ways)
+        if narrow:
+            singles.append((start, form, narrow))
+        if wide and (start not in longest or longest[start][0] < end + 1):
+            longest[start] = (end + 1, wide)
+        if other:
+            begun += [(start, data, encoding) for data, encoding in other]
     found, at = [], 0
     for start in sorted(longest):
         stop, ways = longest[start]
@@ -270,6 +352,11 @@ def _spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, str,
     chosen = [(start, stop, max(ways, key=lambda w: votes[w[1]])[0]) for start, stop, ways in found]
     starts, stops = {s for s, _, _ in chosen}, {e for _, e, _ in chosen}
     wide = [s for s in chosen if _wide(text, *s, starts, stops)]
+    foreign = _foreign_spans(text, begun) if begun else []
+    if foreign:
+        # where the two disagree, the reading of a whole word wins over that of a sign
+        taken = {i for s, e, _ in foreign for i in range(s, e)}
+        wide = sorted([*foreign, *(w for w in wide if taken.isdisjoint(range(w[0], w[1])))])
     covered = {i for s, e, _ in wide for i in range(s, e)}
     strong, possible = [], []
     for start, form, ways in singles:
@@ -312,13 +399,14 @@ def restored(text: str | None) -> str | None:
     """The text with its garbled spans replaced by what was written, as far as it can be told.
 
     Forms of several characters are undone for text garbled repeatedly; of the
-    single-byte pairs the one with most proof in the text is undone first, in lines that have proof of it; at most
-    ``ROUNDS`` steps in all. Characters
-    already lost stay as they are.
+    single-byte pairs the one with most proof in the text is undone first, in lines that have proof of it; until nothing is
+    left or a text comes again. Characters already lost stay as they are.
     """
     if not text or text.isascii():
         return text
-    for _ in range(ROUNDS):
+    seen: set[str] = set()
+    while text not in seen:
+        seen.add(text)
         wide, strong, possible = _spans(text)
         if wide:
             out, at = [], 0

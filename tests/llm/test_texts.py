@@ -370,6 +370,29 @@ def test_round_trip(encoding):
         assert garbled.restored(mixed) == text + "\n" + text + "\n" + CLEAN[2]
 
 
+FOREIGN = [
+    "Wyrok sądu został ogłoszony w piątek; świadek nie przyszedł, więc żądano zwłoki.", "Soud rozhodl, že žaloba není důvodná, a řízení zastavil.", "Instanța a respins cererea și a dispus executarea hotărârii.",
+    "Решение суда вступило в силу. Истец и ответчик согласны с ним.", "Το δικαστήριο έκρινε ότι η αγωγή δεν είναι βάσιμη και την απέρριψε.", "法院认为原告的请求没有依据，驳回上诉。", "裁判所は原告の請求を棄却した。",
+]
+
+
+@pytest.mark.parametrize("encoding", garbled.WIDE)
+def test_other_scripts_come_back(encoding):
+    for text in FOREIGN:
+        assert not garbled.is_garbled(text) and garbled.restored(text) == text
+        seen = "".join(garbled._byte(b, encoding) if b >= 0x80 else chr(b) for b in text.encode())
+        assert garbled.is_garbled(seen) and garbled.restored(seen) == text
+        mixed = "Left as it is: naïve “façade” é\xa0» MENÜ“ LIBERTÉ»\n" + seen
+        assert garbled.restored(mixed) == "Left as it is: naïve “façade” é\xa0» MENÜ“ LIBERTÉ»\n" + text
+
+
+def test_many_layers_are_undone():
+    text = seen = "El plazo venció según la cláusula."
+    for _ in range(10):
+        seen = seen.encode().decode("latin-1")
+    assert garbled.restored(seen) == text
+
+
 def test_garbled_twice():
     once = lambda t: "".join(garbled._byte(b, "cp1252") for b in t.encode("utf-8"))
     for text in CLEAN[:5]:
