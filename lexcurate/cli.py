@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import signal
 import sys
+import threading
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lexcurate
-from lexcurate import sources, streaming
+from lexcurate import settings, sources, streaming
 from lexcurate.functions import text as T
 from lexcurate.functions.lexicons import ANNOTATION, STAGE1, Lexicon
 from lexcurate.operators import dedup, filters, learning, sampling, scoring, statistics, tiers
@@ -20,19 +23,27 @@ from lexcurate.sources import sinks
 
 
 def _documents(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
+    df = sources.reconnecting(lambda: spark.read.parquet(path))
     return sources.documents(df, "id" if "id" in df.columns else "doc_id")
 
 
 def annotate(spark: SparkSession, a: argparse.Namespace) -> int:
-    """The next batch of documents that pass the filter and aren't registered, up to ``--batch-size`` rows and ``--target`` in all."""
-    names = sources.batches(spark, a.output).select("batch").distinct() if _exists(spark, a.output) else None
+    """The next batch of documents that pass the filter and aren't registered, up to ``--batch-size`` rows and ``--target`` in all.
+
+    What isn't given is taken from the environment (:mod:`lexcurate.settings`). Without ``--registry`` hashes known before are read from where
+    :func:`lexcurate.sources.registry_location` finds them, and new ones are kept in ``registry`` inside the output.
+    """
+    s = settings.load(output_dir=a.output, batch_size=a.batch_size, target_samples=a.target)
+    own = a.registry or f"{a.output.rstrip('/')}_registry"
+    names = sources.batches(spark, a.output).select("batch").distinct() if sources.exists(spark, a.output) else None
     number = (names.agg(F.max("batch")).first()[0] or 0) + 1 if names is not None else 1
     have = spark.read.parquet(a.output).count() if names is not None else 0
-    known = sources.registry(spark, a.registry)
+    known = sources.registry(spark, own)
+    if not a.registry:
+        known = known.union(sources.registry(spark, sources.registry_location(spark, a.output)))
     key = T.text_hash(F.col("text"))
-    fresh = dedup.not_registered(dedup.keep_first(filters.survivors(_documents(spark, a.input), ANNOTATION), key, ["id"]), key, known)
-    room = min(a.batch_size, a.target - have) if a.target else a.batch_size
+    fresh = dedup.not_registered(dedup.keep_first(_fitting(_documents(spark, a.input), s), key, ["id"]), key, known)
+    room = min(s.batch_size, s.target_samples - have)
     if a.dry_run:
         print(f"batch {number}: {min(room, fresh.count())} documents would be annotated")
         return 0
@@ -40,17 +51,17 @@ def annotate(spark: SparkSession, a: argparse.Namespace) -> int:
         print("the target is reached")
         return 0
     todo = fresh.orderBy("id").limit(room)
-    rows = tabled(scoring.annotated(todo, scoring.TermScorer))
+    rows = tabled(scoring.annotated(todo, scoring.TermScorer, retry=s.retry()))
     good, bad = scoring.split_errors(rows)
     sinks.write_batch(good, a.output, number)
-    sinks.append_registry(good.select(T.text_hash(F.col("text")).alias("text_hash")), a.registry)
+    sinks.append_registry(good.select(T.text_hash(F.col("text")).alias("text_hash")), own)
     print(f"batch {number}: {good.count()} annotated, {bad.count()} failed")
     return 0
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def _fitting(docs: DataFrame, s: settings.Settings) -> DataFrame:
+    lexicon = replace(ANNOTATION, min_chars=s.min_text_length, max_chars=s.max_text_length)
+    return filters.survivors(docs, lexicon) if s.keyword_filter_enabled else docs.filter(filters.right_length(F.col("text"), lexicon))
 
 
 def stage1(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -58,17 +69,21 @@ def stage1(spark: SparkSession, a: argparse.Namespace) -> int:
     lexicon = Lexicon(min_chars=a.min_length, max_chars=a.max_length)
     stream = streaming.source(spark, a.input, spark.read.parquet(a.input).schema)
     query = streaming.filtered(sources.documents(stream, "id" if "id" in stream.columns else "doc_id"), a.output, a.checkpoint, lexicon)
-    query.awaitTermination()
+    whole = streaming.Stop(*([signal.SIGINT, signal.SIGTERM] if threading.current_thread() is threading.main_thread() and a.signals else [])).watch(query)
     read = sum(p["numInputRows"] for p in query.recentProgress)
-    print(f"{read} read")
+    print(f"{read} read" + ("" if whole else "; stopped after the current batch"))
     return 0
 
 
 def stage2(spark: SparkSession, a: argparse.Namespace) -> int:
-    """Rows of ``--input`` that the model in ``--model`` scores at least ``--threshold``."""
+    """Rows of each file of ``--input`` that the model in ``--model`` scores at least ``--threshold``; files scored by an earlier run are left out."""
     model = learning.PipelineModel.load(a.model)
-    scored = learning.predict(model, spark.read.parquet(a.input)).withColumn("score", F.col("predicted_score"))
-    sources.present(tiers.at_least(scored, a.threshold), ["id", "text", "url", "score", "date"]).write.mode("overwrite").parquet(a.output)
+
+    def kept(rows: DataFrame) -> DataFrame:
+        scored = learning.predict(model, rows).withColumn("score", F.col("predicted_score"))
+        return sources.present(tiers.at_least(scored, a.threshold), ["id", "text", "url", "score", "date"])
+
+    print(f"{len(streaming.by_file(spark, f'{a.input}/*.parquet', a.output, kept))} files scored")
     return 0
 
 
@@ -81,6 +96,8 @@ def stats(spark: SparkSession, a: argparse.Namespace) -> int:
     df = spark.read.parquet(a.input)
     statistics.overview(df).show(truncate=False)
     statistics.shares(df).show(truncate=False)
+    if a.json:
+        sinks.write_json(statistics.overview(df), a.json)
     if a.inventory:
         statistics.inventory(df, F.col("_metadata.file_name"), F.octet_length("text")).orderBy("is_total", "batch").show(1000, truncate=False)
     return 0
@@ -126,6 +143,8 @@ def consolidate(spark: SparkSession, a: argparse.Namespace) -> int:
         print("two splits share texts")
         return 1
     sinks.write_splits(split, a.output, ["split"])
+    if a.whole:
+        sinks.merge(split, a.whole, 1)
     statistics.crosstab(split, "score", "split").orderBy("level", "score", "split").show(100)
     return 0
 
@@ -147,7 +166,10 @@ def analyse(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def funnel(spark: SparkSession, a: argparse.Namespace) -> int:
-    filters.funnel(_documents(spark, a.input), STAGE1).show(truncate=False)
+    counts = tabled(filters.funnel(_documents(spark, a.input), STAGE1))
+    counts.show(truncate=False)
+    if a.json:
+        sinks.write_json(counts, a.json)
     return 0
 
 
@@ -195,9 +217,9 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--input", default=None)
         c.add_argument("--output", default=None)
         if name in ("annotate", "resume"):
-            c.add_argument("--registry", required=True)
-            c.add_argument("--batch-size", type=int, default=1000)
-            c.add_argument("--target", type=int, default=0)
+            c.add_argument("--registry", default=None)
+            c.add_argument("--batch-size", type=int, default=None)
+            c.add_argument("--target", type=int, default=None)
             c.add_argument("--dry-run", action="store_true")
         if name == "stage1":
             c.add_argument("--checkpoint", required=True)
@@ -209,6 +231,10 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--threshold", type=float, default=tiers.THRESHOLD)
         if name == "merge":
             c.add_argument("--files", type=int, default=None)
+        if name in ("stats", "funnel"):
+            c.add_argument("--json", default=None, help="folder for the figures as JSON")
+        if name == "stage1":
+            c.add_argument("--signals", action="store_true", help="end after the current batch on SIGINT or SIGTERM")
         if name == "stats":
             c.add_argument("--inventory", action="store_true")
         if name == "samples":
@@ -220,6 +246,7 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--regularisation", type=float, default=0.01)
         if name == "consolidate":
             c.add_argument("inputs", nargs="+")
+            c.add_argument("--whole", default=None, help="all rows with their splits in one file")
         if name == "tiers":
             c.add_argument("--test-size", type=float, default=0.1)
         if name == "audit":

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import queue
+import threading
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -24,6 +26,10 @@ class RateLimited(ScorerError):
     pass
 
 
+class CallTimeout(ScorerError):
+    pass
+
+
 class Scorer(Protocol):
     """Made once per Python worker; answers with a JSON reply."""
 
@@ -50,6 +56,41 @@ class Retry:
         raise ScorerError("no attempts")
 
 
+#: our own wording; ``{text}`` is replaced
+PROMPT = """How valuable is this text for learning about law, from 0 (not at all) to 5 (very)? Answer with a JSON object: {"score": 0-5, "reasoning": "one sentence"}.
+
+{text}"""
+
+
+class PromptScorer:
+    """A scorer behind a call, as to a remote model: the text is put into ``prompt``, and a call that takes longer than ``timeout`` seconds
+    raises :class:`CallTimeout`. Errors named in ``errors`` (type of the call's error: type to raise) become scorer errors, to be tried again or
+    reported; others end the task. A call that ran out of time is left to itself; the next one has its own thread."""
+
+    def __init__(self, call: Callable[[str], str], prompt: str = PROMPT, timeout: float = 30.0, errors: Mapping[type, type] | None = None) -> None:
+        self.call, self.prompt, self.timeout = call, prompt, timeout
+        self.errors = dict(errors or {ConnectionError: ScorerError, TimeoutError: CallTimeout})
+
+    def reply(self, text: str) -> str:
+        answer: queue.Queue = queue.Queue()
+
+        def run() -> None:
+            try:
+                answer.put((self.call(self.prompt.replace("{text}", text)), None))
+            except Exception as e:  # noqa: BLE001 - handed to the caller
+                answer.put((None, e))
+
+        threading.Thread(target=run, daemon=True).start()
+        try:
+            reply, error = answer.get(timeout=self.timeout)
+        except queue.Empty:
+            raise CallTimeout(f"no answer after {self.timeout} s") from None
+        if error is not None:
+            kind = next((to for of, to in self.errors.items() if isinstance(error, of)), None)
+            raise kind(str(error)) from error if kind else error
+        return reply
+
+
 class TermScorer:
     """An offline scorer without a model: a point for every two different terms, five at most."""
 

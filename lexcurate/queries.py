@@ -738,14 +738,41 @@ def q_stream_counters(spark, folder):
     return spark.table(name)
 
 
-@query(f"SELECT doc_id, CAST({KEYWORDS_SQL} AS DOUBLE) AS score FROM documents WHERE {KEYWORDS_SQL} >= 3")
+@query(f"SELECT id, score, reasoning FROM ({ORACLES['q_annotate']}) WHERE score >= 3")
 def q_stream_score(spark, folder):
+    """A stream of documents through a scorer, those of score 3 or more."""
+    out = scratch(spark)
+    streaming.annotated(sources.documents(_stream(spark, folder), "doc_id"), f"{out}/kept", f"{out}/checkpoint", scoring.TermScorer, least=3).awaitTermination()
+    return spark.read.schema("id string, score tinyint, reasoning string, error string").parquet(f"{out}/kept").filter("error is null").drop("error")
+
+
+@query(f"SELECT doc_id, CAST({KEYWORDS_SQL} AS DOUBLE) AS score FROM documents WHERE {KEYWORDS_SQL} >= 3")
+def q_stream_keywords(spark, folder):
+    """A stream scored by an expression."""
     out = scratch(spark)
     score = lambda df: df.select("doc_id", filters.keyword_count(F.col("text")).cast("double").alias("score"))
     streaming.scored(_stream(spark, folder), f"{out}/kept", f"{out}/checkpoint", score).awaitTermination()
     return spark.read.schema("doc_id long, score double").parquet(f"{out}/kept")
 
 
+@query(f"SELECT doc_id, CAST({KEYWORDS_SQL} AS INTEGER) AS keywords FROM documents")
+def q_score_files(spark, folder):
+    """Files scored one by one; a second run finds none left."""
+    out, target = scratch(spark), scratch(spark)
+    table(spark, folder, "documents").select("doc_id", "text").repartition(3).write.parquet(out)
+    score = lambda df: df.select("doc_id", filters.keyword_count(F.col("text")).alias("keywords"))
+    done = [len(streaming.by_file(spark, f"{out}/*.parquet", target, score)) for _ in range(2)]
+    return spark.read.parquet(f"{target}/*").filter(F.lit(done[1] == 0))
+
+
+@query("SELECT row_number() OVER (ORDER BY d) - 1 AS dim, v AS mean FROM (SELECT CAST(j AS INTEGER) AS d, round(avg(CAST(embedding[j] AS DOUBLE)), 6) AS v FROM embeddings, (SELECT unnest(range(1, 5)) AS j) WHERE label < 5 GROUP BY 1)")
+def q_masked_mean(spark, folder):
+    """Mean of the vectors whose mask is set, for the first four dimensions."""
+    rows = table(spark, folder, "embeddings").select(F.slice("embedding", 1, 4).cast("array<double>").alias("v"), (F.col("label") < 5).cast("int").alias("mask"))
+    means = [F.round(F.sum(F.col("v")[k] * F.col("mask")) / F.sum("mask"), 6) for k in range(4)]
+    return rows.agg(F.array(*means).alias("m")).select(F.posexplode("m").alias("dim", "mean")).withColumn("dim", F.col("dim").cast("long"))
+
+
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2")
 def q_windowed_counts(spark, folder):
     """Event-time windows, over the table as a batch; the same columns work on a stream."""

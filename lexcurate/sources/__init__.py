@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
 ANNOTATION = "id string, score tinyint, reasoning string, text string, url string, timestamp timestamp_ntz, model string, input_tokens int, text_length int"
 STATE = "total_annotated long, total_batches long, last_batch_number long, score_distribution map<int,long>, total_tokens_used long, total_errors long, started_at timestamp, last_updated timestamp"
 STAGE1_STATE = "total_processed_count long, total_passed_count long, batch_index long, last_updated string"
@@ -115,12 +118,6 @@ def experiments(spark: SparkSession, pattern: str) -> DataFrame:
     return rows.select(name, "config", F.col("training_history").alias("history"), F.col("best_f1_macro").alias("best"))
 
 
-def unfinished(names: Sequence[str], results: DataFrame) -> list[str]:
-    """Of the configurations named those without a result."""
-    done = {r["name"] for r in results.filter(F.col("name").isin(list(names))).select("name").distinct().collect()}
-    return [n for n in names if n not in done]
-
-
 def registry(spark: SparkSession, path: str) -> DataFrame:
     """``text_hash`` rows of a registry: a JSON file or a Parquet table; nothing if it isn't there."""
     if path.endswith(".json"):
@@ -133,6 +130,45 @@ def registry(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], "text_hash string")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def complete_outputs(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the tables in ``folder`` whose write was completed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [f.getPath().getParent().getName() for f in found]
+
+
+def registry_location(spark: SparkSession, output: str, name: str = "seen_hashes.json") -> str:
+    """The registry of known hashes that belongs to an output folder: in ``curated`` beside it, else in ``data/curated`` one level up, else in
+    ``curated`` inside it."""
+    parent = output.rstrip("/").rpartition("/")[0] or "."
+    above = parent.rpartition("/")[0] or "."
+    for folder in (f"{parent}/curated", f"{above}/data/curated"):
+        if exists(spark, folder):
+            return f"{folder}/{name}"
+    return f"{output.rstrip('/')}/curated/{name}"
+
+
+#: parts of the messages of errors that may pass
+TRANSIENT = ("SocketTimeout", "ConnectException", "Connection reset", "UnknownHost", "NoRouteToHost", "503", "429", "temporarily unavailable")
+
+
+def reconnecting(action: Callable[[], T], attempts: int = 5, first: float = 1.0, longest: float = 60.0, transient: Sequence[str] = TRANSIENT, sleep: Callable[[float], None] = time.sleep) -> T:
+    """``action()``, tried again after doubling waits while its error is a passing one of the source; other errors and the last one are raised."""
+    for k in range(attempts):
+        try:
+            return action()
+        except Exception as e:  # noqa: BLE001 - told apart by their text, as errors of the JVM come in one type
+            if k + 1 == attempts or not any(part in f"{type(e).__name__}: {e}" for part in transient):
+                raise
+            sleep(min(longest, first * 2**k))
+    raise ValueError("attempts must be at least 1")
+
+
 def aligned_union(parts: Sequence[DataFrame], columns: Sequence[str] | None = None) -> DataFrame:
     """Rows of all parts with ``source_rank``; columns that a part lacks are null."""
     out = None

@@ -19,10 +19,6 @@ def write_batch(df: DataFrame, folder: str, number: int) -> None:
     writer.partitionBy("batch").parquet(folder)
 
 
-def write_parts(df: DataFrame, folder: str, rows: int = PART_ROWS) -> None:
-    df.write.mode("append").option("maxRecordsPerFile", rows).option("compression", "snappy").parquet(folder)
-
-
 def write_splits(df: DataFrame, folder: str, by: Sequence[str] = ("tier", "split")) -> None:
     """One folder per tier and split; earlier content is replaced, empty ones don't appear."""
     df.write.mode("overwrite").partitionBy(*by).parquet(folder)

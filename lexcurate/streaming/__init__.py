@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import signal
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lexcurate import sources
 from lexcurate.functions import text as T
 from lexcurate.functions.lexicons import STAGE1, Lexicon
-from lexcurate.operators import dedup, filters
+from lexcurate.operators import dedup, filters, scoring
 from lexcurate.sources import sinks
 
 
@@ -62,6 +64,52 @@ def scored(docs: DataFrame, target: str, checkpoint: str, score: Callable[[DataF
     return kept.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
+def annotated(docs: DataFrame, target: str, checkpoint: str, make: Callable[[], scoring.Scorer], retry: scoring.Retry = scoring.Retry(), least: int = 0) -> StreamingQuery:
+    """Annotations of ``docs(id, text, url)`` by a scorer, those of ``least`` or more, appended to ``target``; rows with an error go there too, with no score."""
+    rows = scoring.annotated(docs, make, retry=retry).filter((F.col("score") >= least) | F.col("error").isNotNull())
+    return rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def by_file(spark: SparkSession, pattern: str, target: str, then: Callable[[DataFrame], DataFrame]) -> list[str]:
+    """Each Parquet file of ``pattern`` that has no ``scored_`` counterpart in ``target`` through ``then``, as one; the names of those done now.
+
+    A counterpart counts once its write is complete, so a run that was stopped goes on with the file it was at. One name per file reaches the driver.
+    """
+    inputs = sources.files(spark, pattern)
+    complete = spark.createDataFrame([(p,) for p in sources.complete_outputs(spark, target)], "name string")
+    todo = sources.pending(inputs, complete).orderBy("name").collect()
+    for row in todo:
+        then(spark.read.parquet(row["path"])).write.mode("overwrite").parquet(f"{target}/scored_{row['name']}")
+    return [row["name"] for row in todo]
+
+
+class Stop:
+    """Asked for by a signal or by hand; a running query ends after the batch it is at, a second signal ends it at once."""
+
+    def __init__(self, *signals: int) -> None:
+        self.asked = False
+        for number in signals:
+            signal.signal(number, self._on_signal)
+
+    def _on_signal(self, number: int, frame: object) -> None:
+        if self.asked:
+            raise KeyboardInterrupt
+        self.asked = True
+
+    def watch(self, query: StreamingQuery, poll: float = 0.5) -> bool:
+        """Waits for ``query``; whether it ran to its end."""
+        while not query.awaitTermination(poll):
+            if self.asked and not query.status["isTriggerActive"]:
+                query.stop()
+                return False
+            if self.asked and query.lastProgress is not None and query.lastProgress["batchId"] != getattr(self, "_batch", query.lastProgress["batchId"]):
+                query.stop()
+                return False
+            if query.lastProgress is not None:
+                self._batch = query.lastProgress["batchId"]
+        return True
+
+
 def windowed_counts(events: DataFrame, length: str = "1 hour", late: str = "10 minutes", time: str = "ts") -> DataFrame:
     """``start, event_type, n, value`` per window of event time; rows later than ``late`` behind the watermark are dropped."""
     seen = events.withWatermark(time, late)

@@ -1,8 +1,8 @@
 from pyspark.sql import functions as F
 
-from lexcurate import streaming
+from lexcurate import sources, streaming
 from lexcurate.functions import text as T
-from lexcurate.operators import filters
+from lexcurate.operators import filters, scoring
 
 SCHEMA = "doc_id long, text string, url string"
 GOOD = "The plaintiff and the defendant cite 42 U.S.C. " + "x" * 500
@@ -64,3 +64,65 @@ def test_windows_on_a_stream(spark, tmp_path):
 
 def test_hash_column(spark):
     assert spark.sql("SELECT ' A' AS t").select(T.text_hash(F.col("t"))).first()[0] == spark.sql("SELECT 'a' AS t").select(T.text_hash(F.col("t"))).first()[0]
+
+
+def test_files_are_scored_once(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put(spark, src, [(1, "a", None)])
+    then = lambda df: df.select("doc_id")
+    assert len(streaming.by_file(spark, f"{src}/*.parquet", out, then)) == 1
+    put(spark, src, [(2, "b", None)])
+    assert len(streaming.by_file(spark, f"{src}/*.parquet", out, then)) == 1 and streaming.by_file(spark, f"{src}/*.parquet", out, then) == []
+    assert sorted(r[0] for r in spark.read.parquet(f"{out}/*").collect()) == [1, 2]
+
+
+def test_stop(spark, tmp_path):
+    stop = streaming.Stop()
+    rate = spark.readStream.format("rate").load()
+    query = rate.writeStream.format("noop").trigger(processingTime="1 second").start()
+    stop.asked = True
+    assert not stop.watch(query) and not query.isActive
+
+
+def test_scored_stream_keeps_failures(spark, tmp_path):
+    src, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    put(spark, src, [(1, "fine", None), (2, "late", None), (3, "broken", None)])
+    docs = streaming.source(spark, src, SCHEMA).select(F.col("doc_id").cast("string").alias("id"), "text", "url")
+
+    def make():
+        import time
+
+        from lexcurate.operators.scoring import PromptScorer
+
+        def call(prompt):
+            if "late" in prompt:
+                time.sleep(5)
+            if "broken" in prompt:
+                raise ConnectionError("gone")
+            return '{"score": 4, "reasoning": "r"}'
+
+        return PromptScorer(call, timeout=1.0)
+
+    streaming.annotated(docs, out, check, make, scoring.Retry(2, 0.0), least=3).awaitTermination()
+    rows = {r["id"]: r for r in spark.read.parquet(out).collect()}
+    assert rows["1"]["score"] == 4 and rows["2"]["error"].startswith("CallTimeout") and rows["3"]["error"] == "ScorerError: gone"
+
+
+def test_reconnecting_and_locations(spark, tmp_path):
+    import pytest
+
+    seen, waits = [], []
+
+    def action():
+        seen.append(1)
+        if len(seen) < 3:
+            raise OSError("java.net.ConnectException: refused")
+        return "read"
+
+    assert sources.reconnecting(action, sleep=waits.append) == "read" and waits == [1.0, 2.0]
+    with pytest.raises(ValueError, match="other"):
+        sources.reconnecting(lambda: (_ for _ in ()).throw(ValueError("other")))
+    base = str(tmp_path)
+    assert sources.registry_location(spark, f"{base}/run") == f"{base}/run/curated/seen_hashes.json"
+    (tmp_path / "curated").mkdir()
+    assert sources.registry_location(spark, f"{base}/run/") == f"{base}/curated/seen_hashes.json"
