@@ -765,12 +765,15 @@ def q_score_files(spark, folder):
     return spark.read.parquet(f"{target}/*").filter(F.lit(done[1] == 0))
 
 
-@query("SELECT row_number() OVER (ORDER BY d) - 1 AS dim, v AS mean FROM (SELECT CAST(j AS INTEGER) AS d, round(avg(CAST(embedding[j] AS DOUBLE)), 6) AS v FROM embeddings, (SELECT unnest(range(1, 5)) AS j) WHERE label < 5 GROUP BY 1)")
+@query("""SELECT vec_id, CAST(d AS INTEGER) AS dim, round(coalesce(avg(CAST(embedding[k * 8 + d + 1] AS DOUBLE)) FILTER (embedding[k * 8 + 1] > 0), 0), 6) AS mean
+FROM embeddings, (SELECT unnest(range(8)) AS k), (SELECT unnest(range(8)) AS d) GROUP BY 1, 2""")
 def q_masked_mean(spark, folder):
-    """Mean of the vectors whose mask is set, for the first four dimensions."""
-    rows = table(spark, folder, "embeddings").select(F.slice("embedding", 1, 4).cast("array<double>").alias("v"), (F.col("label") < 5).cast("int").alias("mask"))
-    means = [F.round(F.sum(F.col("v")[k] * F.col("mask")) / F.sum("mask"), 6) for k in range(4)]
-    return rows.agg(F.array(*means).alias("m")).select(F.posexplode("m").alias("dim", "mean")).withColumn("dim", F.col("dim").cast("long"))
+    """Each embedding as eight vectors of eight dimensions, pooled over those that begin above zero."""
+    rows = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    vectors = rows.select("vec_id", F.array(*(F.slice("e", 8 * k + 1, 8) for k in range(8))).alias("v"))
+    masked = vectors.withColumn("m", F.transform("v", lambda v: (v[0] > 0).cast("int")))
+    means = masked.select("vec_id", F.posexplode(S.masked_mean(F.col("v"), F.col("m"))).alias("dim", "mean"))
+    return means.withColumn("mean", F.round("mean", 6))
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2")
